@@ -1,0 +1,18 @@
+"""Joins against derived lookup tables whose size is checked before they are broadcast."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_LOOKUP_ROWS = 100_000
+
+
+def checked_lookup(table: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
+    """A small derived table as a local relation marked for broadcast.
+
+    At most ``max_rows + 1`` rows ever leave the executors. A larger table is handed back
+    as it came: the join is then a shuffle join, with its hot keys split by AQE.
+    """
+    rows = table.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return table
+    return F.broadcast(table.sparkSession.createDataFrame(rows, table.schema))

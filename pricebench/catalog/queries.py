@@ -164,16 +164,19 @@ def price_filter(spark, sf_dir):
     return events.filter(P.in_price_range(F.col("value"))).select("event_id", "value")
 
 
+def _details(spark, sf_dir):
+    return X.with_details(V.listings(spark, sf_dir).select("src_id", "title", "description", "features", "details"))
+
+
 @query
 def parse_details(spark, sf_dir):
-    fields = X.details_fields(F.col("details"))
-    return V.listings(spark, sf_dir).select("src_id", sorted_pairs(fields["details"]).alias("details"))
+    return _details(spark, sf_dir).select("src_id", sorted_pairs(F.col("details_map")).alias("details"))
 
 
 @query
 def drop_detail_keys(spark, sf_dir):
-    fields = X.details_fields(F.col("details"))
-    return V.listings(spark, sf_dir).select("src_id", sorted_pairs(X.drop_noise(fields["details"])).alias("details"))
+    kept = X.drop_noise(F.col("details_map"))
+    return _details(spark, sf_dir).select("src_id", sorted_pairs(kept).alias("details"))
 
 
 @query
@@ -187,12 +190,12 @@ def flatten_text(spark, sf_dir):
 
 
 def _bodies(spark, sf_dir):
-    raw = V.listings(spark, sf_dir)
+    raw = _details(spark, sf_dir)
     body = P.assemble_body(
         F.col("title"),
         X.flatten(P.as_text(raw, "description")),
         X.flatten(P.as_text(raw, "features")),
-        X.details_fields(F.col("details"))["text"],
+        F.col("details_text"),
     )
     return raw.select("src_id", body.alias("body"))
 
@@ -222,9 +225,8 @@ def min_length_filter(spark, sf_dir):
 
 @query
 def weight_in_pounds(spark, sf_dir):
-    fields = X.details_fields(F.col("details"))
-    weight = P.weight_in_pounds(F.try_element_at(fields["details"], F.lit("Item Weight")))
-    return V.listings(spark, sf_dir).select("src_id", weight.alias("weight"))
+    weight = P.weight_in_pounds(F.try_element_at("details_map", F.lit("Item Weight")))
+    return _details(spark, sf_dir).select("src_id", weight.alias("weight"))
 
 
 @query

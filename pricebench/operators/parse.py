@@ -57,21 +57,20 @@ def weight_in_pounds(weight: Column) -> Column:
 
 def _with_body(priced: DataFrame) -> DataFrame:
     """Body and weight of each listing; columns beyond the raw schema are carried along."""
+    extra = [name for name in priced.columns if name not in RAW.fieldNames()]
     body = assemble_body(
         F.col("title"),
         X.flatten(as_text(priced, "description")),
         X.flatten(as_text(priced, "features")),
-        F.col("_fields.text"),
+        F.col("details_text"),
     )
-    extra = [name for name in priced.columns if name not in RAW.fieldNames()]
-    return priced.withColumn("_fields", X.details_fields(F.col("details"))).select(
-        *extra,
-        "title",
-        "category",
-        "price",
+    made = F.struct(
         finish_body(body).alias("full"),
-        weight_in_pounds(F.try_element_at("_fields.details", F.lit("Item Weight"))).alias("weight"),
+        weight_in_pounds(F.try_element_at("details_map", F.lit("Item Weight"))).alias("weight"),
     )
+    # Unpacked from an array, the body is made once: a filter on its length cannot be pushed
+    # below the generator, where it would make the body a second time.
+    return X.with_details(priced).select(*extra, "title", "category", "price", F.inline(F.array(made)))
 
 
 def _priced(raw: DataFrame) -> DataFrame:

@@ -81,12 +81,13 @@ def exact_median(df: DataFrame, value: Column, keys: list[str], name: str = "med
     values are counted before the shuffle, the middle bucket of each group is found from
     bucket sizes, and only that bucket is put in order.
     """
+    # Nulls go before both uses of the tally, so that Spark plans it once and reuses it.
     tally = (
         df.select(*keys, value.alias("_value"))
-        .filter(F.col("_value").isNotNull())
         .groupBy(*keys, "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_bucket", magnitude_bucket(F.col("_value")))
+        .dropna(subset=[*keys, "_bucket"])
     )
     group = Window.partitionBy(*keys)
     before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -18,19 +18,25 @@ def damping_factor(category: Column, damping: dict[str, float]) -> Column:
     return factor
 
 
+def _ends(df: DataFrame, price: str) -> Column:
+    """Lowest price and width of the price range over the whole table, as one scalar subquery."""
+    low, high = F.min(price), F.max(price)
+    return df.agg(F.struct(low.alias("low"), (high - low).alias("width")).alias("ends")).scalar()
+
+
+def _scaled(price: str, ends: Column) -> Column:
+    return (F.col(price) - ends["low"]) / (ends["width"] + F.lit(1e-9))
+
+
 def minmax_scale(df: DataFrame, price: str = "price", name: str = "scaled") -> DataFrame:
-    """(price - min) / (max - min + 1e-9) over the whole table, by one scalar subquery."""
-    ends = df.agg(F.struct(F.min(price).alias("low"), F.max(price).alias("high")).alias("ends")).scalar()
-    low, high = ends["low"], ends["high"]
-    return df.withColumn(name, (F.col(price) - low) / (high - low + F.lit(1e-9)))
+    """(price - min) / (max - min + 1e-9)."""
+    return df.withColumn(name, _scaled(price, _ends(df, price)))
 
 
 def _raw_weights(df: DataFrame, damping: dict[str, float], power: float) -> DataFrame:
-    ends = df.agg(F.struct(F.min("price").alias("low"), F.max("price").alias("high")).alias("ends")).scalar()
-    low, high = ends["low"], ends["high"]
-    scaled = (F.col("price") - low) / (high - low + F.lit(1e-9))
+    ends = _ends(df, "price")
     # With all prices equal every scaled price is 0; only the damping is left to weigh by.
-    base = F.when(high > low, F.pow(scaled, F.lit(float(power)))).otherwise(F.lit(1.0))
+    base = F.when(ends["width"] == 0, F.lit(1.0)).otherwise(F.pow(_scaled("price", ends), F.lit(float(power))))
     return df.withColumn("weight_raw", base * damping_factor(F.col("category"), damping))
 
 

@@ -18,16 +18,13 @@ def sequential_ids(
     return with_position(hashed, ["_hash", key], hash_bucket(F.col("_hash")), name).drop("_hash")
 
 
-def split_name(position: Column, total: Column, validation: int, test: int) -> Column:
+def cut_points(df: DataFrame, validation: int, test: int) -> Column:
+    """Where validation and test start, as one scalar subquery over the row count."""
+    total = F.count(F.lit(1))
     tenth = F.floor(total / 10)
-    held_validation = F.least(F.lit(validation), tenth)
-    held_test = F.least(F.lit(test), tenth)
-    cut = total - held_validation - held_test
-    return (
-        F.when(position < cut, "train")
-        .when(position < cut + held_validation, "validation")
-        .otherwise("test")
-    )
+    test_start = total - F.least(F.lit(test), tenth)
+    validation_start = test_start - F.least(F.lit(validation), tenth)
+    return df.agg(F.struct(validation_start.alias("validation"), test_start.alias("test")).alias("cuts")).scalar()
 
 
 def train_val_test_split(
@@ -41,8 +38,13 @@ def train_val_test_split(
 ) -> DataFrame:
     """Add ``name`` (contiguous over train, validation, test) and ``split``."""
     placed = sequential_ids(df, key, seed, name, order_key)
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return placed.withColumn("split", split_name(F.col(name), total, validation, test))
+    cuts = cut_points(df, validation, test)
+    part = (
+        F.when(F.col(name) < cuts["validation"], "train")
+        .when(F.col(name) < cuts["test"], "validation")
+        .otherwise("test")
+    )
+    return placed.withColumn("split", part)
 
 
 def first_rows(part: DataFrame, size: int, id_column: str = "id") -> DataFrame:

@@ -16,6 +16,7 @@ from pricebench.models.base import PipelinePricer, Pricer
 from pricebench.operators.features import Vectoriser, hashing_stages, log_target, train_cap
 
 TRAIN_ROWS = 50_000
+MAX_NORMAL_FEATURES = 4_096
 CLASSICAL_FLOOR = 0.5
 HAND_FEATURES = ["weight_value", "weight_missing", "text_length", "word_count"]
 HAND_SQL = """
@@ -38,16 +39,26 @@ def with_label(items: DataFrame) -> DataFrame:
     return items.withColumn("label", log_target(F.col("price")))
 
 
-def ridge(labelled: DataFrame, alpha: float = 1.0) -> LinearRegression:
+def ridge(labelled: DataFrame, alpha: float, features: int) -> LinearRegression:
     """Minimise |y - Xw|² + alpha |w|² with a free intercept.
 
-    Spark divides the loss by n and works on labels scaled by their sample deviation, so
-    the same penalty is alpha * sd(y) / n.
+    Spark divides the loss by n and works on labels scaled by their deviation, so the same
+    penalty is alpha * sd(y) / n: population deviation in the normal equations, sample
+    deviation in L-BFGS. The normal equations need one pass; they stop at 4,096 features.
     """
-    row = labelled.agg(F.stddev_samp("label").alias("sd"), F.count(F.lit(1)).alias("n")).first()
-    penalty = alpha * (row["sd"] or 1.0) / row["n"]
+    y = F.col("label")
+    row = labelled.agg(
+        F.stddev_pop(y).alias("population"), F.stddev_samp(y).alias("sample"), F.count(F.lit(1)).alias("n")
+    ).first()
+    normal = features <= MAX_NORMAL_FEATURES
+    deviation = (row["population"] if normal else row["sample"]) or 1.0
     return LinearRegression(
-        regParam=penalty, elasticNetParam=0.0, standardization=False, solver="l-bfgs", maxIter=300, tol=1e-9
+        regParam=alpha * deviation / row["n"],
+        elasticNetParam=0.0,
+        standardization=False,
+        solver="normal" if normal else "l-bfgs",
+        maxIter=300,
+        tol=1e-9,
     )
 
 
@@ -87,7 +98,7 @@ class BagOfWordsLinearPricer(PipelinePricer):
         train = train_cap(train, self.rows)
         self.vectoriser.fit(train)
         labelled = with_label(self.vectoriser.transform(train)).select("features", "label")
-        fitted = ridge(labelled, self.alpha).fit(labelled)
+        fitted = ridge(labelled, self.alpha, len(self.vectoriser.terms)).fit(labelled)
         self.model = PipelineModel([*self.vectoriser.model.stages, fitted, guess_stage()])
         return self
 
@@ -137,14 +148,16 @@ class WordVectorPricer(Pricer):
     def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "WordVectorPricer":
         train = train_cap(train, self.rows)
         self.vectoriser.fit(train)
-        vectors = self.vectoriser.transform(train)
+        # Every Lanczos step is a pass over the vectors.
+        vectors = self.vectoriser.transform(train).select("price", "features").persist()
         k = max(1, min(self.components, len(self.vectoriser.terms) - 1))
         _, self.basis = truncated_svd(vectors, k)
         self.words = self.vectoriser.model
         labelled = with_label(project(vectors, self.basis, "reduced")).select(
             F.col("reduced").alias("features"), "label"
         )
-        self.linear = ridge(labelled, self.alpha).fit(labelled)
+        self.linear = ridge(labelled, self.alpha, k).fit(labelled)
+        vectors.unpersist()
         return self
 
     def reduce(self, items: DataFrame) -> DataFrame:

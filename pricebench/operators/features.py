@@ -76,21 +76,19 @@ def tokenise(items: DataFrame, stop_words: list[str] | None = None) -> DataFrame
 def token_counts(tokenised: DataFrame) -> DataFrame:
     """Corpus frequency and document frequency of each term.
 
-    Tokens are sorted inside their document, so the first of each run marks the document;
-    one map-side combined aggregation then gives both counts, without (document, term) keys.
+    Each document gives all its tokens and then each distinct one once more; the position
+    tells them apart. One map-side combined aggregation counts both, so no shuffle is keyed
+    by (document, term).
     """
-    runs = F.transform(
-        F.col("_sorted"),
-        lambda term, i: F.struct(
-            term.alias("term"),
-            ((i == 0) | (F.get(F.col("_sorted"), i - 1) != term)).cast("bigint").alias("starts"),
-        ),
-    )
+    # The array is made inside the generator: as a column of its own, Spark would first
+    # filter on its size and so tokenise every text several times.
+    both = F.posexplode(F.concat("tokens", F.array_distinct("tokens"))).alias("_position", "term")
+    counted_once = F.col("_position") < F.col("_size")
     return (
-        tokenised.select(F.sort_array("tokens").alias("_sorted"))
-        .select(F.inline(runs))
+        tokenised.select("tokens", F.size("tokens").alias("_size"))
+        .select("_size", both)
         .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("starts").alias("documents"))
+        .agg(F.count_if(counted_once).alias("n"), F.count_if(~counted_once).alias("documents"))
     )
 
 

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pricebench.operators.evaluate import as_predictions
 
 
-class Pricer:
+class PriceModel:
     display_name = "pricer"
     needs_training = True
 
-    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "Pricer":
+    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "PriceModel":
         return self
 
     def transform(self, items: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ class Pricer:
         return as_predictions(self.transform(items), self.display_name)
 
 
-class PipelinePricer(Pricer):
+class PipelinePriceModel(PriceModel):
     """A model whose fitted state is one PipelineModel, inverse target included."""
 
     model: PipelineModel
@@ -31,6 +31,6 @@ class PipelinePricer(Pricer):
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(path)
 
-    def load(self, path: str) -> "PipelinePricer":
+    def load(self, path: str) -> "PipelinePriceModel":
         self.model = PipelineModel.load(path)
         return self

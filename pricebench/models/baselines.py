@@ -4,14 +4,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricebench.functions.order import seeded_hash
-from pricebench.models.base import Pricer
+from pricebench.models.base import PriceModel
 from pricebench.operators.joins import checked_lookup
 from pricebench.schemas import SEED
 
 TOP_GUESS = 999
 
 
-class RandomPricer(Pricer):
+class RandomGuess(PriceModel):
     """Whole dollars 1..999 from a hash of the id: the same in every partitioning."""
 
     display_name = "random guess"
@@ -25,10 +25,10 @@ class RandomPricer(Pricer):
         return items.withColumn("guess", (hashed % TOP_GUESS + 1).cast("double"))
 
 
-class AveragePricer(Pricer):
+class TrainingAverage(PriceModel):
     display_name = "training average"
 
-    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "AveragePricer":
+    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "TrainingAverage":
         self.average = train.agg(F.avg("price"))
         return self
 
@@ -36,12 +36,12 @@ class AveragePricer(Pricer):
         return items.withColumn("guess", self.average.scalar())
 
 
-class CategoryAveragePricer(Pricer):
+class CategoryAverage(PriceModel):
     """Mean per category; a category unknown to the training rows gets the overall mean."""
 
     display_name = "category average"
 
-    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "CategoryAveragePricer":
+    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "CategoryAverage":
         sums = train.groupBy("category").agg(F.sum("price").alias("_sum"), F.count("price").alias("_n"))
         self.by_category = checked_lookup(sums)
         return self

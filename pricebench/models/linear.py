@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricebench.models.base import PipelinePricer, Pricer
+from pricebench.models.base import PipelinePriceModel, PriceModel
 from pricebench.operators.features import Vectoriser, hashing_stages, log_target, train_cap
 
 TRAIN_ROWS = 50_000
@@ -62,12 +62,12 @@ def ridge(labelled: DataFrame, alpha: float, features: int) -> LinearRegression:
     )
 
 
-class FeaturePricer(PipelinePricer):
+class HandFeatureRegression(PipelinePriceModel):
     """Least squares on four hand-built features."""
 
     display_name = "linear (features)"
 
-    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "FeaturePricer":
+    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "HandFeatureRegression":
         stages = [
             SQLTransformer(statement=HAND_SQL),
             VectorAssembler(inputCols=HAND_FEATURES, outputCol="features"),
@@ -78,7 +78,7 @@ class FeaturePricer(PipelinePricer):
         return self
 
 
-class BagOfWordsLinearPricer(PipelinePricer):
+class WordCountRidge(PipelinePriceModel):
     """Ridge on word counts."""
 
     display_name = "linear (bag of words)"
@@ -94,7 +94,7 @@ class BagOfWordsLinearPricer(PipelinePricer):
         self.alpha = alpha
         self.vectoriser = Vectoriser(max_features, stop_words=stop_words)
 
-    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "BagOfWordsLinearPricer":
+    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "WordCountRidge":
         train = train_cap(train, self.rows)
         self.vectoriser.fit(train)
         labelled = with_label(self.vectoriser.transform(train)).select("features", "label")
@@ -127,7 +127,7 @@ def project(df: DataFrame, basis: np.ndarray, name: str, column: str = "features
     return df.withColumn(name, array_to_vector(times_basis(entry["indices"], entry["values"])))
 
 
-class WordVectorPricer(Pricer):
+class SvdRidge(PriceModel):
     """Ridge on TF-IDF reduced by a truncated SVD."""
 
     display_name = "svd + ridge"
@@ -145,7 +145,7 @@ class WordVectorPricer(Pricer):
         self.alpha = alpha
         self.vectoriser = Vectoriser(max_features, tfidf=True, stop_words=stop_words)
 
-    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "WordVectorPricer":
+    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "SvdRidge":
         train = train_cap(train, self.rows)
         self.vectoriser.fit(train)
         # Every Lanczos step is a pass over the vectors.
@@ -177,7 +177,7 @@ class WordVectorPricer(Pricer):
         spark = SparkSession.active()
         spark.createDataFrame(rows).write.mode("overwrite").parquet(f"{path}/basis")
 
-    def load(self, path: str) -> "WordVectorPricer":
+    def load(self, path: str) -> "SvdRidge":
         self.words = PipelineModel.load(f"{path}/words")
         self.linear = LinearRegressionModel.load(f"{path}/linear")
         rows = SparkSession.active().read.parquet(f"{path}/basis").orderBy("term").toPandas()
@@ -185,7 +185,7 @@ class WordVectorPricer(Pricer):
         return self
 
 
-class HashedHuberPricer(PipelinePricer):
+class HashedHuber(PipelinePriceModel):
     """Robust regression of the standardised log price on hashed words.
 
     The squared-then-absolute loss and the target are those of a small network over the
@@ -208,7 +208,7 @@ class HashedHuberPricer(PipelinePricer):
         self.max_iter = max_iter
         self.stop_words = stop_words
 
-    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "HashedHuberPricer":
+    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "HashedHuber":
         train = train_cap(train, self.rows)
         stages = hashing_stages(self.buckets, self.stop_words)
         ready = PipelineModel(stages).transform(train)

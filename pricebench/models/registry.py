@@ -1,24 +1,24 @@
 """Model names to factories; keyword arguments go to the model."""
 
-from pricebench.models.base import Pricer
-from pricebench.models.baselines import AveragePricer, CategoryAveragePricer, RandomPricer
-from pricebench.models.linear import BagOfWordsLinearPricer, FeaturePricer, HashedHuberPricer, WordVectorPricer
-from pricebench.models.replies import ZeroShotPricer
-from pricebench.models.trees import BoostedTreesPricer, RandomForestPricer
+from pricebench.models.base import PriceModel
+from pricebench.models.baselines import TrainingAverage, CategoryAverage, RandomGuess
+from pricebench.models.linear import WordCountRidge, HandFeatureRegression, HashedHuber, SvdRidge
+from pricebench.models.replies import ZeroShot
+from pricebench.models.trees import BoostedTrees, Forest
 
 REGISTRY = {
-    "random": RandomPricer,
-    "average": AveragePricer,
-    "category-average": CategoryAveragePricer,
-    "features": FeaturePricer,
-    "bow-linear": BagOfWordsLinearPricer,
-    "svd-ridge": WordVectorPricer,
-    "random-forest": RandomForestPricer,
-    "boosted-trees": BoostedTreesPricer,
-    "hashed-huber": HashedHuberPricer,
-    "zero-shot": ZeroShotPricer,
+    "random": RandomGuess,
+    "average": TrainingAverage,
+    "category-average": CategoryAverage,
+    "features": HandFeatureRegression,
+    "bow-linear": WordCountRidge,
+    "svd-ridge": SvdRidge,
+    "random-forest": Forest,
+    "boosted-trees": BoostedTrees,
+    "hashed-huber": HashedHuber,
+    "zero-shot": ZeroShot,
 }
 
 
-def create(name: str, **parameters) -> Pricer:
+def create(name: str, **parameters) -> PriceModel:
     return REGISTRY[name](**parameters)

@@ -2,11 +2,11 @@
 
 from pyspark.sql import DataFrame
 
-from pricebench.models.base import Pricer
+from pricebench.models.base import PriceModel
 from pricebench.operators.requests import price_replies
 
 
-class ZeroShotPricer(Pricer):
+class ZeroShot(PriceModel):
     """Reads the guess out of replies to ``zero_shot_requests``; nothing to train."""
 
     needs_training = False

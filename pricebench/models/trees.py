@@ -4,7 +4,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 
-from pricebench.models.base import PipelinePricer
+from pricebench.models.base import PipelinePriceModel
 from pricebench.models.linear import TRAIN_ROWS, guess_stage, with_label
 from pricebench.operators.features import Vectoriser, train_cap
 from pricebench.operators.split import first_rows
@@ -13,7 +13,7 @@ from pricebench.schemas import SEED
 TREE_MEMORY_MB = 1024
 
 
-class RandomForestPricer(PipelinePricer):
+class Forest(PipelinePriceModel):
     display_name = "random forest"
 
     def __init__(
@@ -29,7 +29,7 @@ class RandomForestPricer(PipelinePricer):
         self.max_depth = max_depth
         self.vectoriser = Vectoriser(max_features, stop_words=stop_words)
 
-    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "RandomForestPricer":
+    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "Forest":
         train = train_cap(train, self.rows)
         self.vectoriser.fit(train)
         labelled = with_label(self.vectoriser.transform(train)).select("features", "label")
@@ -56,7 +56,7 @@ def rounds_to_keep(losses: list[float], patience: int) -> int:
     return best + 1
 
 
-class BoostedTreesPricer(PipelinePricer):
+class BoostedTrees(PipelinePriceModel):
     """Gradient boosting on TF-IDF, stopped early when validation rows are given.
 
     Spark has no patience setting: its own validation stops at the first small gain. The
@@ -94,7 +94,7 @@ class BoostedTreesPricer(PipelinePricer):
             seed=SEED,
         )
 
-    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "BoostedTreesPricer":
+    def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "BoostedTrees":
         train = train_cap(train, self.rows)
         self.vectoriser.fit(train)
         labelled = with_label(self.vectoriser.transform(train)).select("features", "label").persist()

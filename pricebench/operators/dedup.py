@@ -16,6 +16,11 @@ def content_key(*columns: str) -> Column:
     return F.sha2(F.to_json(F.struct(*columns)), 256)
 
 
+def digest(column: str) -> Column:
+    """32 bytes that stand for a text of any length."""
+    return F.unhex(F.sha2(column, 256))
+
+
 def seeded_order(df: DataFrame, key: str, seed: int = SEED, name: str = "position") -> DataFrame:
     """Add each row's place in the seeded shuffle of the table."""
     hashed = df.withColumn("_hash", seeded_hash(f"{seed}:dedup", F.col(key)))
@@ -32,13 +37,13 @@ def first_per_value(df: DataFrame, columns: list[str], order: list) -> DataFrame
     return df.withColumn("_n", F.row_number().over(group)).filter(F.col("_n") == 1).drop("_n")
 
 
-def dedup_pool(items: DataFrame, key: str, seed: int = SEED, order_key: str | None = None) -> DataFrame:
+def dedup_pool(items: DataFrame, key: str, seed: int = SEED) -> DataFrame:
     """The narrow table the passes need: key, order, and digests of title and body."""
     return items.select(
         F.col(key).alias("_key"),
-        seeded_hash(f"{seed}:dedup", F.col(order_key or key)).alias("_order"),
-        F.unhex(F.sha2("title", 256)).alias("_title"),
-        F.unhex(F.sha2("full", 256)).alias("_body"),
+        seeded_hash(f"{seed}:dedup", F.col(key)).alias("_order"),
+        digest("title").alias("_title"),
+        digest("full").alias("_body"),
     )
 
 

@@ -3,11 +3,11 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricebench.operators.dedup import content_key, surviving
+from pricebench.functions.order import seeded_hash
+from pricebench.operators.dedup import content_key, digest, surviving
 from pricebench.operators.parse import parse_listings
 from pricebench.operators.sample import MAX_BROADCAST_KEYS, sample_keys
 from pricebench.operators.split import MAX_TEST, MAX_VALIDATION, train_val_test_split
-from pricebench.functions.order import seeded_hash
 from pricebench.schemas import CATEGORY_DAMPING, SEED
 from pricebench.session import write_through
 
@@ -25,28 +25,27 @@ def curate(
 ) -> DataFrame:
     """Parse, drop repeats, draw the weighted sample, split; items with ``id`` and ``split``.
 
-    The parsed text is written once and read once: dedup, sampling and ids work on digests
-    and keys, and the chosen keys go back to the text as a broadcast when the sample is
-    small enough. ``key`` names a unique listing column; without one the order is drawn
-    from the content of each listing.
+    The parsed text is written once, next to the digests of title and body. Dedup, sampling
+    and ids read only the narrow columns of that table, and the chosen keys go back to the
+    text as a broadcast when the sample is small enough. ``key`` names a unique listing
+    column; without one the order is drawn from the content of each listing.
     """
     parsed = parse_listings(raw)
-    content = key or content_key("title", "full", "category", "price", "weight")
-    # Fixed once written, hence safe as a key; the draws below never depend on it.
-    keyed = parsed.withColumn("_key", F.monotonically_increasing_id())
-    table = write_through(keyed, "parsed")
-    pool = table.select(
-        "_key",
-        "category",
-        "price",
-        (F.col(key) if key else content).alias("_content"),
-        F.unhex(F.sha2("title", 256)).alias("_title"),
-        F.unhex(F.sha2("full", 256)).alias("_body"),
-    ).withColumn("_order", seeded_hash(f"{seed}:dedup", F.col("_content")))
-    kept = write_through(surviving(pool).select("_key", "_content", "category", "price"), "survivors")
+    content = F.col(key) if key else content_key("title", "full", "category", "price", "weight")
+    narrow = {
+        # Fixed once written, hence safe as a key; the draws never depend on it.
+        "_key": F.monotonically_increasing_id(),
+        "_content": content,
+        "_order": seeded_hash(f"{seed}:dedup", content),
+        "_title": digest("title"),
+        "_body": digest("full"),
+    }
+    table = write_through(parsed.withColumns(narrow), "parsed")
+    kept = surviving(table.select(*narrow, "category", "price"))
+    kept = write_through(kept.select("_key", "_content", "category", "price"), "survivors")
     chosen = sample_keys(kept, size, "_key", damping, seed, order_key="_content")
     chosen = write_through(chosen.select("_key", "_content"), "sample")
     placed = train_val_test_split(chosen, "_key", validation, test, seed, order_key="_content")
     placed = placed.select("_key", "id", "split")
     hinted = F.broadcast(placed) if size <= MAX_BROADCAST_KEYS else placed
-    return table.join(hinted, "_key").drop("_key")
+    return table.select(*parsed.columns, "_key").join(hinted, "_key").drop("_key")

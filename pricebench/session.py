@@ -29,14 +29,14 @@ def shared_folder(spark: SparkSession) -> str:
     A machine-local folder is only made up for a local master; on a cluster a missing
     setting is an error, since a lost executor would take such a folder with it.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="pricebench-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="pricebench-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -276,6 +276,28 @@ def baselines(size: int, models: tuple[str, ...]) -> str:
     return f"{slice_of('test', size)},\n{category_guess(TRAIN, 'slice')},\nscored_models AS (\n{rows})"
 
 
+def least_squares(features: list[str], train: str, to: str) -> str:
+    """Ordinary least squares by successive orthogonalisation.
+
+    Each feature is reduced by its regressions on the ones before it; the coefficients come
+    from the training rows and are applied to the others as well.
+    """
+    steps = [f"""ls0 AS (
+SELECT 'fit' AS part, new_id, ln(1 + price) AS y, ln(1 + price) AS rest, CAST(0 AS DOUBLE) AS line, {', '.join(features)} FROM {train}
+UNION ALL SELECT 'score', new_id, NULL, NULL, CAST(0 AS DOUBLE), {', '.join(features)} FROM {to}),
+ls_mean AS (SELECT * REPLACE ((SELECT avg(y) FROM ls0 WHERE part = 'fit') AS line,
+                              rest - (SELECT avg(y) FROM ls0 WHERE part = 'fit') AS rest,
+  {', '.join(f"{f} - (SELECT avg({f}) FROM ls0 WHERE part = 'fit') AS {f}" for f in features)}) FROM ls0)"""]
+    last = "ls_mean"
+    for i, f in enumerate(features):
+        slope = lambda y: f"(SELECT sum({y} * {f}) / sum({f} * {f}) FROM {last} WHERE part = 'fit')"
+        later = [f"{g} - {f} * {slope(g)} AS {g}" for g in features[i + 1 :]]
+        replaced = ", ".join([f"line + {f} * {slope('rest')} AS line", f"rest - {f} * {slope('rest')} AS rest", *later])
+        steps.append(f"ls_{f} AS (SELECT * REPLACE ({replaced}) FROM {last})")
+        last = f"ls_{f}"
+    return ",\n".join(steps)
+
+
 def sql(ctes: str, select: str) -> str:
     return f"WITH {ctes}\n{select}"
 
@@ -313,6 +335,7 @@ CASE WHEN ({number('price')}) IS NULL THEN 'price missing or not double' ELSE ''
         """SELECT model, id, title, truth, guess, band,
 max(greatest(truth, guess)) OVER (PARTITION BY model) AS top FROM banded""",
     ),
+    "model_roundtrip": sql(SPLIT, "SELECT new_id AS id, true AS same FROM placed WHERE split = 'test'"),
     # Parse and clean
     "parse_price": sql(
         LISTINGS, f"SELECT * FROM (SELECT src_id, {number('price')} AS price FROM listings) WHERE price IS NOT NULL"
@@ -438,6 +461,24 @@ round(greatest(exp(ln(1 + price) - 1) - 1, CAST(0 AS DOUBLE)), 6) AS hashed FROM
         + category_guess("train", "items"),
         "SELECT id, category, round(guess, 6) AS guess FROM scored_items",
     ),
+    "model_features": sql(
+        SPLIT
+        + f""",
+hand AS (
+SELECT *, coalesce(weight, CAST(0 AS DOUBLE)) AS f_weight,
+       CASE WHEN coalesce(weight, 0) = 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS f_missing,
+       CAST(length({TEXT}) AS DOUBLE) AS f_length,
+       CAST(length({TEXT}) - length(replace({TEXT}, ' ', '')) + 1 AS DOUBLE) AS f_words FROM placed),
+"""
+        + least_squares(
+            ["f_weight", "f_missing", "f_length", "f_words"],
+            "(SELECT * FROM hand WHERE split = 'train')",
+            "(SELECT * FROM hand WHERE split = 'test')",
+        ),
+        """SELECT 'linear (features)' AS model, s.new_id AS id, p.price AS truth,
+round(greatest(exp(s.line) - 1, CAST(0.5 AS DOUBLE)), 4) AS guess
+FROM ls_f_words s JOIN placed p ON s.new_id = p.new_id WHERE s.part = 'score'""",
+    ),
     "zero_shot_requests": sql(
         ITEMS,
         f"""SELECT id, {text(PRICE_SYSTEM)} AS system,

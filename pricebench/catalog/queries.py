@@ -433,7 +433,7 @@ def _score(spark, sf_dir, name, **parameters):
     model = create(name, **parameters)
     if model.needs_training:
         model.fit(train, validation)
-    return model.predictions(test).select("model", "id", "truth", r6("guess").alias("guess"))
+    return model.predictions(test).select("model", "id", "truth", F.round("guess", 4).alias("guess"))
 
 
 @query

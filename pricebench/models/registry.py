@@ -1,8 +1,8 @@
 """Model names to factories; keyword arguments go to the model."""
 
 from pricebench.models.base import PriceModel
-from pricebench.models.baselines import TrainingAverage, CategoryAverage, RandomGuess
-from pricebench.models.linear import WordCountRidge, HandFeatureRegression, HashedHuber, SvdRidge
+from pricebench.models.baselines import CategoryAverage, RandomGuess, TrainingAverage
+from pricebench.models.linear import HandFeatureRegression, HashedHuber, SvdRidge, WordCountRidge
 from pricebench.models.replies import ZeroShot
 from pricebench.models.trees import BoostedTrees, Forest
 

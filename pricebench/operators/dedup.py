@@ -48,15 +48,18 @@ def dedup_pool(items: DataFrame, key: str, seed: int = SEED) -> DataFrame:
 
 
 def surviving(pool: DataFrame, passes: tuple[str, ...] = ("_title", "_body")) -> DataFrame:
-    """Chained passes: a row removed by its title can no longer suppress another by body."""
-    for digest in passes:
-        pool = first_per_value(pool, [digest], ["_order", "_key"])
+    """Chained passes: a row removed by its title can no longer suppress another by body.
+
+    Rows that share a hash are ordered by their text before their key.
+    """
+    for value in passes:
+        pool = first_per_value(pool, [value], ["_order", "_title", "_body", "_key"])
     return pool
 
 
 def deduplicate(
     items: DataFrame, key: str = "id", seed: int = SEED, passes: tuple[str, ...] = ("_title", "_body")
 ) -> DataFrame:
-    """One row per title, then one per body. ``key`` must be unique."""
+    """One row per title, then one per body. ``key`` must be unique and not null."""
     kept = surviving(dedup_pool(items, key, seed), passes).select(F.col("_key").alias(key))
     return items.join(kept, key, "left_semi")

@@ -60,7 +60,7 @@ def metrics(predictions: DataFrame) -> DataFrame:
         F.avg((band() == "green").cast("double")).alias("hit_rate"),
     )
     medians = exact_median(predictions, absolute_error(), ["model"], "median_error")
-    return sums.join(medians, "model").select(
+    return sums.join(medians, "model", "left").select(
         "model", "n", "avg_error", "median_error", "rmsle", "r2", "hit_rate"
     )
 

@@ -55,7 +55,7 @@ def sample_keys(
     key: str,
     damping: dict[str, float] = CATEGORY_DAMPING,
     seed: int = SEED,
-    order_key: str | None = None,
+    hashed: Column | None = None,
     power: float = PRICE_POWER,
 ) -> DataFrame:
     """The rows of a narrow (key, category, price) table that the weighted draw picks.
@@ -63,8 +63,9 @@ def sample_keys(
     Keeping the k smallest -ln(u)/w has the distribution of k successive draws with
     probability proportional to w (Efraimidis and Spirakis, 2006). A common factor of the
     weights changes nothing, so they are not normalised. Rows of weight 0 cannot be drawn.
+    u comes from ``hashed``, by default the seeded hash of the key; equal draws go by key.
     """
-    hashed = seeded_hash(f"{seed}:sample", F.col(order_key or key))
+    hashed = seeded_hash(f"{seed}:sample", F.col(key)) if hashed is None else hashed
     weighed = (
         _raw_weights(pool, damping, power)
         .filter(F.col("weight_raw") > 0)

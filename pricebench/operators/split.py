@@ -11,11 +11,12 @@ MAX_TEST = 2_000
 
 
 def sequential_ids(
-    df: DataFrame, key: str, seed: int = SEED, name: str = "id", order_key: str | None = None
+    df: DataFrame, key: str, seed: int = SEED, name: str = "id", hashed: Column | None = None
 ) -> DataFrame:
-    """0..n-1 in the seeded shuffle of the table."""
-    hashed = df.withColumn("_hash", seeded_hash(f"{seed}:split", F.col(order_key or key)))
-    return with_position(hashed, ["_hash", key], hash_bucket(F.col("_hash")), name).drop("_hash")
+    """0..n-1 in the seeded shuffle of the table; equal hashes go by key."""
+    hashed = seeded_hash(f"{seed}:split", F.col(key)) if hashed is None else hashed
+    placed = df.withColumn("_hash", hashed)
+    return with_position(placed, ["_hash", key], hash_bucket(F.col("_hash")), name).drop("_hash")
 
 
 def cut_points(df: DataFrame, validation: int, test: int) -> Column:
@@ -34,10 +35,10 @@ def train_val_test_split(
     test: int = MAX_TEST,
     seed: int = SEED,
     name: str = "id",
-    order_key: str | None = None,
+    hashed: Column | None = None,
 ) -> DataFrame:
     """Add ``name`` (contiguous over train, validation, test) and ``split``."""
-    placed = sequential_ids(df, key, seed, name, order_key)
+    placed = sequential_ids(df, key, seed, name, hashed)
     cuts = cut_points(df, validation, test)
     part = (
         F.when(F.col(name) < cuts["validation"], "train")

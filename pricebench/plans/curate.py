@@ -33,19 +33,21 @@ def curate(
     parsed = parse_listings(raw)
     content = F.col(key) if key else content_key("title", "full", "category", "price", "weight")
     narrow = {
-        # Fixed once written, hence safe as a key; the draws never depend on it.
+        # Fixed once written, hence safe as a key; the draws do not depend on it.
         "_key": F.monotonically_increasing_id(),
-        "_content": content,
         "_order": seeded_hash(f"{seed}:dedup", content),
+        "_draw_hash": seeded_hash(f"{seed}:sample", content),
+        "_split_hash": seeded_hash(f"{seed}:split", content),
         "_title": digest("title"),
         "_body": digest("full"),
     }
     table = write_through(parsed.withColumns(narrow), "parsed")
-    kept = surviving(table.select(*narrow, "category", "price"))
-    kept = write_through(kept.select("_key", "_content", "category", "price"), "survivors")
-    chosen = sample_keys(kept, size, "_key", damping, seed, order_key="_content")
-    chosen = write_through(chosen.select("_key", "_content"), "sample")
-    placed = train_val_test_split(chosen, "_key", validation, test, seed, order_key="_content")
+    kept = surviving(table.select(*narrow, "category", "price")).drop("_order", "_body")
+    kept = write_through(kept, "survivors")
+    # From here on titles are unique, so their digests order rows that share a hash.
+    chosen = sample_keys(kept, size, "_title", damping, seed, F.col("_draw_hash"))
+    chosen = write_through(chosen.select("_key", "_split_hash", "_title"), "sample")
+    placed = train_val_test_split(chosen, "_title", validation, test, seed, hashed=F.col("_split_hash"))
     placed = placed.select("_key", "id", "split")
     hinted = F.broadcast(placed) if size <= MAX_BROADCAST_KEYS else placed
     return table.select(*parsed.columns, "_key").join(hinted, "_key").drop("_key")

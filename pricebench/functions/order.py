@@ -1,5 +1,8 @@
 """Seeded order and exact ranks that do not depend on how the data is partitioned."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,13 +84,15 @@ def exact_median(df: DataFrame, value: Column, keys: list[str], name: str = "med
     values are counted before the shuffle, the middle bucket of each group is found from
     bucket sizes, and only that bucket is put in order.
     """
-    # Nulls go before both uses of the tally, so that Spark plans it once and reuses it.
+    # The join below rules out nulls. Said here, it holds for both uses of the tally, which
+    # Spark then computes once.
+    known = reduce(and_, [F.col(name).isNotNull() for name in [*keys, "_bucket"]])
     tally = (
         df.select(*keys, value.alias("_value"))
         .groupBy(*keys, "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_bucket", magnitude_bucket(F.col("_value")))
-        .dropna(subset=[*keys, "_bucket"])
+        .filter(known)
     )
     group = Window.partitionBy(*keys)
     before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

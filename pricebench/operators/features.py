@@ -15,6 +15,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricebench.functions.order import magnitude_bucket, take_smallest
 from pricebench.functions.text import TOKEN
 from pricebench.operators.items import item_text
 
@@ -93,12 +94,9 @@ def token_counts(tokenised: DataFrame) -> DataFrame:
 
 
 def vocabulary(tokenised: DataFrame, size: int, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """The ``size`` most frequent terms found in enough documents; ties by the term.
-
-    Each task keeps ``size`` rows at most, and ``size`` is a parameter, not data.
-    """
+    """The ``size`` most frequent terms found in enough documents; ties by the term."""
     frequent = token_counts(tokenised).filter(F.col("documents") >= min_documents)
-    return frequent.orderBy(F.desc("n"), "term").limit(size)
+    return take_smallest(frequent, size, [F.desc("n"), "term"], -magnitude_bucket(F.col("n")))
 
 
 class Vectoriser:
@@ -111,7 +109,7 @@ class Vectoriser:
 
     def fit(self, items: DataFrame) -> "Vectoriser":
         tokenised = tokenise(items, self.stop_words)
-        rows = vocabulary(tokenised, self.size).toPandas()
+        rows = vocabulary(tokenised, self.size).toPandas().sort_values(["n", "term"], ascending=[False, True])
         self.terms = rows["term"].tolist()
         if not self.terms:
             raise ValueError("no term occurs in enough documents")

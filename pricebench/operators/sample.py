@@ -7,8 +7,8 @@ from pricebench.functions.order import log_bucket, seeded_hash, take_smallest, u
 from pricebench.schemas import CATEGORY_DAMPING, SEED
 
 PRICE_POWER = 2
-# A broadcast of this many keys stays well below 100 MB.
-MAX_BROADCAST_KEYS = 2_000_000
+# Keys with an id and a split name take some 64 bytes each on every executor.
+MAX_BROADCAST_KEYS = 1_000_000
 
 
 def damping_factor(category: Column, damping: dict[str, float]) -> Column:

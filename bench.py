@@ -79,7 +79,8 @@ def main() -> None:
     for name in FITTED:
         times[name] = round(seconds(spark, name), 3)
     total = round(sum(times.values()), 3)
-    print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": times, "sf": SF_DIR.rsplit("sf", 1)[-1]}))
+    scale = SF_DIR.rsplit("sf", 1)[-1]
+    print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": times, "sf": scale}))
     spark.stop()
 
 

@@ -127,22 +127,28 @@ FROM listings l LEFT JOIN (SELECT * FROM pairs WHERE {keep}) p ON l.src_id = p.s
 
 
 SHOWN = r"""replace(replace(replace(replace(x, '\', '\\'), chr(10), '\n'), chr(13), '\r'), chr(9), '\t')"""
-REPR = f"""'[' || array_to_string(list_transform(features, lambda x:
+
+
+def shown(elements: str) -> str:
+    """The text Python shows for a list of strings."""
+    return f"""'[' || array_to_string(list_transform({elements}, lambda x:
 CASE WHEN contains(x, '''') AND NOT contains(x, '"') THEN '"' || {SHOWN} || '"'
      ELSE '''' || replace({SHOWN}, '''', '\\''') || '''' END), ', ') || ']'"""
 
-BODIES = (
-    LISTINGS
-    + ",\n"
-    + PAIRS
-    + f""",
+
+def bodies(description: str) -> str:
+    return (
+        LISTINGS
+        + ",\n"
+        + PAIRS
+        + f""",
 kept_text AS (
 SELECT src_id, '{{' || string_agg('"' || key || '": "' || value || '"', ', ' ORDER BY position) || '}}' AS json
 FROM pairs WHERE key NOT IN {NOISE} GROUP BY src_id),
 bodies AS (
-SELECT l.*, concat_ws(chr(10), title, {flatten("nullif(description, '')")}, {flatten(REPR)}, json) AS body
+SELECT l.*, concat_ws(chr(10), title, {flatten(description)}, {flatten(shown('features'))}, json) AS body
 FROM listings l LEFT JOIN kept_text k ON l.src_id = k.src_id)"""
-)
+    )
 
 
 def stripped(source: str, key: str, column: str, name: str = "stripped") -> str:
@@ -181,19 +187,24 @@ FROM listings l LEFT JOIN (SELECT src_id, string_split(value, ' ') AS u FROM pai
   ON l.src_id = p.src_id)"""
 )
 
-PARSED = (
-    BODIES
-    + ",\n"
-    + WEIGHTS.removeprefix(PAIRS + ",\n")
-    + ",\n"
-    + stripped("bodies", "src_id", "body")
-    + f""",
+def parsed(description: str) -> str:
+    return (
+        bodies(description)
+        + ",\n"
+        + WEIGHTS.removeprefix(PAIRS + ",\n")
+        + ",\n"
+        + stripped("bodies", "src_id", "body")
+        + f""",
 parsed AS (
 SELECT b.src_id, title, category, {number('price')} AS price, substr({strip('clean')}, 1, 4000) AS "full", weight
 FROM bodies b JOIN stripped s ON b.src_id = s.src_id JOIN weights w ON b.src_id = w.src_id),
 usable AS (
 SELECT * FROM parsed WHERE price BETWEEN CAST(0.5 AS DOUBLE) AND CAST(999.49 AS DOUBLE) AND length("full") >= 600)"""
-)
+    )
+
+
+BODIES = bodies("nullif(description, '')")
+PARSED = parsed("nullif(description, '')")
 
 PREDICTIONS = """predictions AS (
 SELECT concat('m', CAST(m.k AS VARCHAR)) AS model, e.event_id AS id,
@@ -283,7 +294,8 @@ def least_squares(features: list[str], train: str, to: str) -> str:
     from the training rows and are applied to the others as well.
     """
     steps = [f"""ls0 AS (
-SELECT 'fit' AS part, new_id, ln(1 + price) AS y, ln(1 + price) AS rest, CAST(0 AS DOUBLE) AS line, {', '.join(features)} FROM {train}
+SELECT 'fit' AS part, new_id, ln(1 + price) AS y, ln(1 + price) AS rest, CAST(0 AS DOUBLE) AS line,
+       {', '.join(features)} FROM {train}
 UNION ALL SELECT 'score', new_id, NULL, NULL, CAST(0 AS DOUBLE), {', '.join(features)} FROM {to}),
 ls_mean AS (SELECT * REPLACE ((SELECT avg(y) FROM ls0 WHERE part = 'fit') AS line,
                               rest - (SELECT avg(y) FROM ls0 WHERE part = 'fit') AS rest,
@@ -344,7 +356,7 @@ max(greatest(truth, guess)) OVER (PARTITION BY model) AS top FROM banded""",
 WHERE value BETWEEN CAST(0.5 AS DOUBLE) AND CAST(999.49 AS DOUBLE)""",
     "parse_details": sql(LISTINGS + ",\n" + PAIRS, details_text("true")),
     "drop_detail_keys": sql(LISTINGS + ",\n" + PAIRS, details_text(f"key NOT IN {NOISE}")),
-    "render_features": sql(LISTINGS, f"SELECT src_id, {REPR} AS features FROM listings"),
+    "render_features": sql(LISTINGS, f"SELECT src_id, {shown('features')} AS features FROM listings"),
     "flatten_text": sql(LISTINGS, f"SELECT src_id, {flatten('description')} AS flat FROM listings"),
     "assemble_body": sql(BODIES, "SELECT src_id, body FROM bodies"),
     "strip_part_numbers": sql(
@@ -354,6 +366,9 @@ WHERE value BETWEEN CAST(0.5 AS DOUBLE) AND CAST(999.49 AS DOUBLE)""",
     "min_length_filter": "SELECT doc_id, CAST(length(text) AS BIGINT) AS chars FROM documents WHERE length(text) >= 600",
     "weight_in_pounds": sql(LISTINGS + ",\n" + WEIGHTS, "SELECT src_id, weight FROM weights"),
     "parse_listings": sql(PARSED, 'SELECT src_id, title, category, price, "full", weight FROM usable'),
+    "parse_stream": sql(
+        parsed(shown("[description]")), 'SELECT title, category, price, "full", weight FROM usable'
+    ),
     "parse_yield": sql(
         PARSED,
         """SELECT l.category, count(*) AS listings, count(u.src_id) AS usable
@@ -504,6 +519,13 @@ FROM documents""",
         ITEMS + ",\n" + REPLIES,
         f"""SELECT id, {text(SUMMARY_SYSTEM)} AS system, coalesce(nullif("full", ''), title) AS user FROM items
 WHERE coalesce(summary, '') = '' AND id NOT IN (SELECT id FROM replies WHERE id % 2 = 0)""",
+    ),
+    "summary_requests_first": sql(
+        SPLIT
+        + """,
+firsts AS (SELECT split AS part, min(new_id) AS start FROM placed GROUP BY split)""",
+        """SELECT new_id AS id, coalesce(nullif("full", ''), title) AS user FROM placed JOIN firsts ON split = part
+WHERE coalesce(summary, '') = '' AND new_id < start + 50""",
     ),
     "apply_summaries": sql(
         ITEMS + ",\n" + REPLIES,
@@ -534,7 +556,8 @@ count(*) FILTER (band = 'red') AS red, count(*) AS total FROM banded GROUP BY mo
     ),
     "leaderboard": sql(SCORED, f"SELECT {EVENT_METRICS} FROM metrics"),
     "evaluation_slice": sql(
-        SPLIT + ",\n" + slice_of("test", 50), "SELECT new_id AS id, id AS source_id, substr(title, 1, 40) AS title, price FROM slice"
+        SPLIT + ",\n" + slice_of("test", 50),
+        "SELECT new_id AS id, id AS source_id, substr(title, 1, 40) AS title, price FROM slice",
     ),
     "test_sample_stats": sql(
         SPLIT + ",\n" + slice_of("test", 50),

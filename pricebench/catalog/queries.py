@@ -19,6 +19,7 @@ from pricebench.sources import listings as L
 from pricebench.sources import reports as R
 from pricebench.sources import splits as S
 from pricebench.session import new_folder, write_through
+from pricebench.streaming.parse import parse_new_listings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -234,6 +235,14 @@ def parse_listings(spark, sf_dir):
     return P.parse_listings(V.listings(spark, sf_dir))
 
 
+@query
+def parse_stream(spark, sf_dir):
+    """The same listings arriving as files, with the description as a list."""
+    out = new_folder(spark, "stream")
+    parse_new_listings(spark, _raw_folder(spark, sf_dir), f"{out}/items", f"{out}/state").awaitTermination()
+    return spark.read.parquet(f"{out}/items")
+
+
 @query
 def parse_yield(spark, sf_dir):
     return P.parse_yield(V.listings(spark, sf_dir))
@@ -546,6 +555,13 @@ def summary_requests(spark, sf_dir):
     )
 
 
+@query
+def summary_requests_first(spark, sf_dir):
+    """Only the first rows of each split are asked for."""
+    asked = requests.summary_requests(V.split_items(spark, sf_dir), limit=SLICE_ROWS)
+    return asked.select("id", F.col("messages")[1]["content"].alias("user"))
+
+
 @query
 def apply_summaries(spark, sf_dir):
     return requests.apply_summaries(V.items(spark, sf_dir), V.replies(spark, sf_dir)).select("id", "summary")

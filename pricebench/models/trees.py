@@ -32,7 +32,8 @@ class Forest(PipelinePriceModel):
     def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "Forest":
         train = train_cap(train, self.rows)
         self.vectoriser.fit(train)
-        labelled = with_label(self.vectoriser.transform(train)).select("features", "label")
+        # Read three times: for its size, for the candidate splits, and to grow the trees.
+        labelled = with_label(self.vectoriser.transform(train)).select("features", "label").persist()
         forest = RandomForestRegressor(
             numTrees=self.trees,
             minInstancesPerNode=2,
@@ -41,7 +42,9 @@ class Forest(PipelinePriceModel):
             maxMemoryInMB=TREE_MEMORY_MB,
             seed=SEED,
         )
-        self.model = PipelineModel([*self.vectoriser.model.stages, forest.fit(labelled), guess_stage()])
+        fitted = forest.fit(labelled)
+        labelled.unpersist()
+        self.model = PipelineModel([*self.vectoriser.model.stages, fitted, guess_stage()])
         return self
 
 

@@ -11,16 +11,16 @@ from pricebench.functions.order import hash_bucket, seeded_hash, with_position
 from pricebench.schemas import SEED
 
 
-def content_key(*columns: str) -> Column:
-    """A key made of the row itself, for tables that carry no id of their own."""
-    return F.sha2(F.to_json(F.struct(*columns)), 256)
-
-
 def digest(column: str) -> Column:
     """32 bytes that stand for a text of any length."""
     return F.unhex(F.sha2(column, 256))
 
 
+def content_key(texts: list[str], others: list[str]) -> Column:
+    """A key made of the row itself, for tables that carry no id of their own."""
+    return F.sha2(F.to_json(F.struct(*[F.sha2(name, 256).alias(name) for name in texts], *others)), 256)
+
+
 def seeded_order(df: DataFrame, key: str, seed: int = SEED, name: str = "position") -> DataFrame:
     """Add each row's place in the seeded shuffle of the table."""
     hashed = df.withColumn("_hash", seeded_hash(f"{seed}:dedup", F.col(key)))

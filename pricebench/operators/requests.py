@@ -5,6 +5,7 @@ The calls themselves happen elsewhere; batch services take and return rows by id
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricebench.functions.text import or_null, strip, to_price
 from pricebench.operators.items import item_text
@@ -76,6 +77,11 @@ def zero_shot_requests(items: DataFrame) -> DataFrame:
 
 
 def price_replies(items: DataFrame, replies: DataFrame) -> DataFrame:
-    """Add ``guess`` read out of each reply; no reply counts as no number, 0.0."""
-    given = replies.select("id", F.greatest(to_price(F.col("reply")), F.lit(0.0)).alias("guess"))
+    """Add ``guess`` read out of each reply; no reply counts as no number, 0.0.
+
+    Replies may be text or already numbers. ``replies`` holds one row per id at most.
+    """
+    numeric = isinstance(replies.schema["reply"].dataType, T.NumericType)
+    price = F.col("reply").cast("double") if numeric else to_price(F.col("reply"))
+    given = replies.select("id", F.greatest(price, F.lit(0.0)).alias("guess"))
     return items.join(given, "id", "left").withColumn("guess", F.coalesce("guess", F.lit(0.0)))

@@ -31,7 +31,7 @@ def curate(
     column; without one the order is drawn from the content of each listing.
     """
     parsed = parse_listings(raw)
-    content = F.col(key) if key else content_key("title", "full", "category", "price", "weight")
+    content = F.col(key) if key else content_key(["title", "full"], ["category", "price", "weight"])
     narrow = {
         # Fixed once written, hence safe as a key; the draws do not depend on it.
         "_key": F.monotonically_increasing_id(),

@@ -3,8 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
-
 from pricebench.operators import items as I
 from pricebench.operators import requests as R
 from pricebench.plans.summarise import merge_summaries, pending_requests
@@ -64,6 +62,9 @@ def test_zero_shot(spark, items):
     replies = spark.createDataFrame([(0, "$1,249.99"), (1, "-5.5"), (2, None)], "id bigint, reply string")
     found = {r["id"]: r["guess"] for r in R.price_replies(items, replies).collect()}
     assert found == {0: 1249.99, 1: 0.0, 2: 0.0, 3: 0.0}
+    numbers = spark.createDataFrame([(0, 1e-5), (1, -3.0)], "id bigint, reply double")
+    found = {r["id"]: r["guess"] for r in R.price_replies(items, numbers).collect()}
+    assert found == {0: 1e-5, 1: 0.0, 2: 0.0, 3: 0.0}
 
 
 def test_splits_round_trip(spark, items, tmp_path):

@@ -345,6 +345,7 @@ CASE WHEN ({number('price')}) IS NULL THEN 'price missing or not double' ELSE ''
     "scatter_points": sql(
         SCORED,
         """SELECT model, id, title, truth, guess, band,
+CASE band WHEN 'green' THEN '#2e9e5b' WHEN 'amber' THEN '#e0a100' ELSE '#d3453e' END AS colour,
 max(greatest(truth, guess)) OVER (PARTITION BY model) AS top FROM banded""",
     ),
     "model_roundtrip": sql(SPLIT, "SELECT new_id AS id, true AS same FROM placed WHERE split = 'test'"),

@@ -138,7 +138,7 @@ def report_summary(spark, sf_dir):
 @query
 def scatter_points(spark, sf_dir):
     points = evaluate.scatter_points(V.predictions(spark, sf_dir))
-    return points.select("model", "id", "title", "truth", "guess", "band", "top")
+    return points.select("model", "id", "title", "truth", "guess", "band", "colour", "top")
 
 
 @query

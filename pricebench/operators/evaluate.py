@@ -13,6 +13,7 @@ WORST = 5
 # Dollars and share of the price within which a guess is green or amber.
 GREEN = (40, 0.2)
 AMBER = (80, 0.4)
+COLOURS = {"green": "#2e9e5b", "amber": "#e0a100", "red": "#d3453e"}
 
 
 def absolute_error() -> Column:
@@ -100,9 +101,11 @@ def as_predictions(scored: DataFrame, model: str) -> DataFrame:
 
 
 def scatter_points(predictions: DataFrame) -> DataFrame:
-    """Predicted against actual: points with band, and the end of each model's y = x line."""
+    """Predicted against actual: points with their colour, and the end of each model's y = x line."""
     tops = predictions.groupBy("model").agg(F.max(F.greatest("truth", "guess")).alias("top"))
-    return error_bands(predictions).join(checked_lookup(tops), "model")
+    colours = F.create_map(*[F.lit(x) for pair in COLOURS.items() for x in pair])
+    points = error_bands(predictions).withColumn("colour", F.element_at(colours, F.col("band")))
+    return points.join(checked_lookup(tops), "model")
 
 
 def validation_mae(scored: DataFrame, size: int = 2_000) -> DataFrame:

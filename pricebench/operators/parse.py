@@ -74,6 +74,9 @@ def _with_body(priced: DataFrame) -> DataFrame:
 
 
 def _priced(raw: DataFrame) -> DataFrame:
+    """Prices as doubles. A numeric column is left bare, so that its range reaches the scan."""
+    if isinstance(raw.schema["price"].dataType, T.NumericType):
+        return raw.withColumn("price", F.col("price").cast("double"))
     return raw.withColumn("price", parse_price(F.col("price")))
 
 

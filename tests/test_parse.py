@@ -76,6 +76,17 @@ def test_yield(spark):
         )
 
 
+def test_typed_prices_are_filtered_in_the_scan(spark, tmp_path):
+    raw = spark.createDataFrame(LISTINGS, RAW)
+    texts = {r["title"]: r["price"] for r in parse_listings(raw).collect()}
+    typed = raw.withColumn("price", F.col("price").try_cast("double"))
+    typed.filter("title <> 'Hex'").write.parquet(f"{tmp_path}/typed")
+    items = parse_listings(spark.read.parquet(f"{tmp_path}/typed"))
+    assert {r["title"]: r["price"] for r in items.collect()} == texts
+    plan = items._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(price,0.5)" in plan and "LessThanOrEqual(price,999.49)" in plan
+
+
 def test_body_is_made_once(spark):
     plan = parse_listings(spark.createDataFrame(LISTINGS, RAW))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("(?=.*[A-Z])") == 1 and plan.count("from_json") <= 3

@@ -25,29 +25,34 @@ def curate(
 ) -> DataFrame:
     """Parse, drop repeats, draw the weighted sample, split; items with ``id`` and ``split``.
 
-    The parsed text is written once, next to the digests of title and body. Dedup, sampling
-    and ids read only the narrow columns of that table, and the chosen keys go back to the
-    text as a broadcast when the sample is small enough. ``key`` names a unique listing
-    column; without one the order is drawn from the content of each listing.
+    Dedup, sampling and ids run on hashes, digests and prices only. With ``key``, a unique
+    listing column, the listings are read a second time for the chosen keys and nothing else
+    is parsed again, so no wide table is written. Without one the parsed text is written
+    next to those columns under a key of its own, and the order is drawn from the content.
+    The chosen keys are broadcast only while the sample size allows.
     """
     parsed = parse_listings(raw)
     content = F.col(key) if key else content_key(["title", "full"], ["category", "price", "weight"])
     narrow = {
-        # Fixed once written, hence safe as a key; the draws do not depend on it.
-        "_key": F.monotonically_increasing_id(),
         "_order": seeded_hash(f"{seed}:dedup", content),
         "_draw_hash": seeded_hash(f"{seed}:sample", content),
         "_split_hash": seeded_hash(f"{seed}:split", content),
         "_title": digest("title"),
         "_body": digest("full"),
     }
-    table = write_through(parsed.withColumns(narrow), "parsed")
-    kept = surviving(table.select(*narrow, "category", "price")).drop("_order", "_body")
+    # A made-up key is fixed once it is written; the draws do not depend on it.
+    given = F.col(key) if key else F.monotonically_increasing_id()
+    table = parsed.withColumns({"_key": given, **narrow})
+    if not key:
+        table = write_through(table, "parsed")
+    kept = surviving(table.select("_key", *narrow, "category", "price")).drop("_order", "_body")
     kept = write_through(kept, "survivors")
     # From here on titles are unique, so their digests order rows that share a hash.
     chosen = sample_keys(kept, size, "_title", damping, seed, F.col("_draw_hash"))
     chosen = write_through(chosen.select("_key", "_split_hash", "_title"), "sample")
     placed = train_val_test_split(chosen, "_title", validation, test, seed, hashed=F.col("_split_hash"))
-    placed = placed.select("_key", "id", "split")
+    placed = placed.select(F.col("_key").alias(key or "_key"), "id", "split")
     hinted = F.broadcast(placed) if size <= MAX_BROADCAST_KEYS else placed
+    if key:
+        return parse_listings(raw.join(hinted, key))
     return table.select(*parsed.columns, "_key").join(hinted, "_key").drop("_key")

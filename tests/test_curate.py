@@ -134,6 +134,12 @@ def test_curate_invariants(spark, sf_dir):
     once = {(r["title"], r["id"], r["split"]) for r in curate(raw, 80, damping=V.DAMPING).collect()}
     rows = curate(copies.repartition(5), 80, damping=V.DAMPING).collect()
     assert {(r["title"], r["id"], r["split"]) for r in rows} == once
+    keyed = curate(V.listings(spark, sf_dir), 80, key="src_id", damping=V.DAMPING).collect()
+    for rows in (rows, keyed):
+        check_curated(rows)
+
+
+def check_curated(rows):
     assert sorted(r["id"] for r in rows) == list(range(80))
     assert len({r["title"] for r in rows}) == 80 and len({r["full"] for r in rows}) == 80
     assert [sum(r["split"] == s for r in rows) for s in ("train", "validation", "test")] == [64, 8, 8]

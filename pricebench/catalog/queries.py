@@ -661,7 +661,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price filter, dedup, weighted sample, split, two baselines, leaderboard."""
     kept = dedup.deduplicate(V.items(spark, sf_dir)).drop("summary", "weight", "full")
     survivors = write_through(kept, "survivors")
-    drawn = sample.balanced_sample(survivors, SAMPLE_ROWS, damping=V.DAMPING)
+    drawn = write_through(sample.balanced_sample(survivors, SAMPLE_ROWS, damping=V.DAMPING), "sample")
     placed = split.train_val_test_split(drawn.withColumnRenamed("id", "source_id"), "source_id")
     table = write_through(placed, "curated")
     return evaluate.leaderboard(compare(table, [create("average"), create("category-average")], SLICE_ROWS))

@@ -9,8 +9,10 @@ from pricebench.models.linear import TRAIN_ROWS, guess_stage, with_label
 from pricebench.operators.features import Vectoriser, train_cap
 from pricebench.operators.split import first_rows
 from pricebench.schemas import SEED
+from pricebench.session import ensure_checkpoints
 
 TREE_MEMORY_MB = 1024
+CHECKPOINT_ROUNDS = 10
 
 
 class Forest(PipelinePriceModel):
@@ -94,10 +96,12 @@ class BoostedTrees(PipelinePriceModel):
             featureSubsetStrategy="0.6",
             minInstancesPerNode=4,
             maxMemoryInMB=TREE_MEMORY_MB,
+            checkpointInterval=CHECKPOINT_ROUNDS,
             seed=SEED,
         )
 
     def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "BoostedTrees":
+        ensure_checkpoints(train.sparkSession)
         train = train_cap(train, self.rows)
         self.vectoriser.fit(train)
         labelled = with_label(self.vectoriser.transform(train)).select("features", "label").persist()

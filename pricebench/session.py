@@ -39,6 +39,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Let iterative fits checkpoint, so that hundreds of rounds do not hang on one lineage."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing has written to yet."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

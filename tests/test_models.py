@@ -181,6 +181,14 @@ def test_baselines(spark, train, test):
     assert all(r["guess"] == pytest.approx(overall) for r in score_texts(texts, model).collect())
 
 
+def test_category_average_beyond_the_lookup_limit(train, test, monkeypatch):
+    from pricebench.operators import joins
+
+    small = guesses(create("category-average").fit(train), test)
+    monkeypatch.setattr(joins.checked_lookup, "__defaults__", (1,))
+    assert guesses(create("category-average").fit(train), test) == pytest.approx(small)
+
+
 def test_training_average_has_no_r2(curated):
     train = curated.filter("split = 'train'")
     board = compare_models(train.withColumn("split", F.lit("test")).unionByName(train), [create("average")], 10_000)

@@ -556,6 +556,11 @@ SELECT *, row_number() OVER (PARTITION BY model ORDER BY error DESC, id) AS plac
 count(*) FILTER (band = 'red') AS red, count(*) AS total FROM banded GROUP BY model""",
     ),
     "leaderboard": sql(SCORED, f"SELECT {EVENT_METRICS} FROM metrics"),
+    "leaderboard_display": sql(
+        SCORED,
+        """SELECT model, n, format('{:,.2f}', avg_error) AS avg_error, format('{:,.2f}', median_error) AS median_error,
+format('{:.3f}', rmsle) AS rmsle, format('{:.3f}', r2) AS r2, format('{:.1f}%', hit_rate * 100) AS hit_rate FROM metrics""",
+    ),
     "evaluation_slice": sql(
         SPLIT + ",\n" + slice_of("test", 50),
         "SELECT new_id AS id, id AS source_id, substr(title, 1, 40) AS title, price FROM slice",

@@ -617,6 +617,11 @@ def leaderboard(spark, sf_dir):
     return evaluate.leaderboard(V.predictions(spark, sf_dir))
 
 
+@query
+def leaderboard_display(spark, sf_dir):
+    return evaluate.display(evaluate.leaderboard(V.predictions(spark, sf_dir)))
+
+
 @query
 def evaluation_slice(spark, sf_dir):
     test = V.part(spark, sf_dir, "test").select("id", "source_id", "title", "price")

@@ -84,6 +84,19 @@ def leaderboard(predictions: DataFrame, decimals: int = 6) -> DataFrame:
     return metrics(predictions).select("model", "n", *rounded).orderBy("avg_error", "model")
 
 
+def display(board: DataFrame) -> DataFrame:
+    """Metrics as shown to people: dollars to cents, scores to three decimals, hits in percent.
+
+    Java rounds some values whose shortest form ends in a 5, such as 0.0005, to the even
+    neighbour where Python looks at the stored binary value.
+    """
+    text = lambda name, decimals: F.format_number(name, decimals).alias(name)
+    hits = F.concat(F.format_number(F.col("hit_rate") * 100, 1), F.lit("%")).alias("hit_rate")
+    return board.select(
+        "model", "n", text("avg_error", 2), text("median_error", 2), text("rmsle", 3), text("r2", 3), hits
+    )
+
+
 def evaluation_slice(test: DataFrame, size: int = SLICE_ROWS) -> DataFrame:
     """The first test rows, the same for every model, with titles cut for display."""
     return first_rows(test, size).withColumn("title", F.substring("title", 1, TITLE_CHARS))

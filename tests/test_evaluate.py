@@ -61,6 +61,16 @@ def test_worst_bands_and_leaderboard(spark):
     assert [r["model"] for r in E.leaderboard(df).collect()] == ["good", "bad"]
 
 
+def test_display(spark):
+    values = [(1234.565, 0.125, 1.0625, -0.0335, 0.6), (0.005, 2.675, 0.0004, -18.6137, 0.3174)]
+    board = spark.createDataFrame(
+        [("m", i, *v) for i, v in enumerate(values)],
+        "model string, n int, avg_error double, median_error double, rmsle double, r2 double, hit_rate double",
+    )
+    for row, (a, m, s, r, h) in zip(E.display(board).orderBy("n").collect(), values):
+        assert tuple(row)[2:] == (f"{a:,.2f}", f"{m:,.2f}", f"{s:.3f}", f"{r:.3f}", f"{h:.1%}")
+
+
 def test_scatter(spark):
     points = E.scatter_points(predictions(spark, FOUR)).collect()
     assert {r["top"] for r in points} == {800.0} and len(points) == 4

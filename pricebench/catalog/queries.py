@@ -505,7 +505,7 @@ def model_boosted_trees(spark, sf_dir):
 
 @query
 def model_hashed_huber(spark, sf_dir):
-    return _score(spark, sf_dir, "hashed-huber", rows=None, max_iter=30, stop_words=V.STOP_WORDS)
+    return _score(spark, sf_dir, "hashed-huber", rows=None, stop_words=V.STOP_WORDS)
 
 
 @query
@@ -656,7 +656,7 @@ def compare_all_models(spark, sf_dir):
         create("svd-ridge", components=8, **words),
         create("random-forest", trees=5, max_depth=5, **words),
         create("boosted-trees", rounds=5, max_depth=3, **words),
-        create("hashed-huber", rows=None, max_iter=15, stop_words=V.STOP_WORDS),
+        create("hashed-huber", rows=None, stop_words=V.STOP_WORDS),
         create("zero-shot", replies=V.replies(spark, sf_dir)),
     ]
     return compare_models(curated(spark, sf_dir), models, SLICE_ROWS)

@@ -166,6 +166,12 @@ def test_huber_and_round_trip(curated, test, tmp_path):
     assert scored.agg(F.min("guess")).first()[0] >= 0.0
 
 
+def test_huber_guesses_stay_in_reach(train, test):
+    error = lambda model: model.transform(test).agg(F.avg(F.abs(F.col("guess") - F.col("price")))).first()[0]
+    huber = create("hashed-huber", **SMALL).fit(train)
+    assert error(huber) < 2 * error(create("average").fit(train))
+
+
 def test_baselines(spark, train, test):
     assert len({g for g in guesses(create("random"), train).values()}) > 50
     assert guesses(create("random"), train.repartition(9)) == guesses(create("random"), train)

@@ -2,11 +2,13 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricebench.llm import rules, sharding
+from pricebench.llm import classifier, minhash, packing, rules, sharding, simhash
 from pricebench.llm.tables import table
+from pricebench.session import write_through
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,6 +19,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+def token_files() -> tuple[str, str]:
+    """The tokenizer that packing counts in, and its vocabulary as ranks."""
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
@@ -39,3 +46,35 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept",
         F.round("quality", 9).alias("quality"),
     )
+
+
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", simhash.hex_print("print").alias("fingerprint"), "component_id")
+
+
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids are taken before packing, so that only narrow rows are ranked and joined."""
+    cut = packing.tokenised_pieces(documents(spark, sf_dir), *token_files())
+    digests = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(write_through(digests, "piece-digests"))
+
+
+@query
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.fingerprints_with_edits(documents(spark, sf_dir))
+    return found.withColumns({c: minhash.hex_print(c) for c in ("fingerprint", "edited_fingerprint")})
+
+
+@query
+def minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other half of operator 10: near copies from signature bands, verified by Jaccard similarity."""
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return classifier.scored(docs, classifier.fit(docs, table(spark, sf_dir, "labels")))

@@ -26,7 +26,7 @@ FUNCTION_WORDS = frozenset(
 )
 FEATURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "n_lines long, n_upper long, n_function long, n_alpha long, n_marks long"
+    "n_lines long, n_upper long, n_function long, n_alpha long, n_marks long, n_bare long"
 )
 
 
@@ -70,6 +70,7 @@ def measure(text: str | None) -> tuple:
         sum(w.strip(".,;:!?").lower() in FUNCTION_WORDS for w in plain),
         sum(map(str.isalpha, text)),
         text.count("!") + text.count("?"),
+        sum(len(w) == 1 and not w.isalnum() for w in plain),
     )
 
 
@@ -84,27 +85,37 @@ def features(text: str) -> Column:
     return counts(F.col(text))
 
 
+def _bad_if(bad: Column) -> Column:
+    return F.when(bad, F.lit(-1)).otherwise(F.lit(0))
+
+
 def _vote(bad: Column, good: Column) -> Column:
     return F.when(bad, F.lit(-1)).when(good, F.lit(1)).otherwise(F.lit(0))
 
 
 def votes(f: str) -> list[Column]:
-    """What each rule says of a struct of measured counts."""
+    """What each rule says of a struct of measured counts.
+
+    A rule that looks for one kind of junk abstains where it finds none, since that says little of
+    the other kinds. Only rules on what prose has can vote good.
+    """
     col = lambda name: F.col(f"{f}.{name}")
     words = F.greatest(col("n_words"), F.lit(1))
     share = lambda name: col(name) / words
-    chars = share("word_chars")
+    spoken = F.greatest(col("n_words") - col("n_bare"), F.lit(1))
+    chars = (col("word_chars") - col("n_symbols")) / spoken
     lines = col("n_dup_lines") / F.greatest(col("n_lines"), F.lit(1))
     alpha = col("n_alpha") / F.greatest(col("word_chars"), F.lit(1))
     return [
-        _vote(share("n_symbols") > 0.1, share("n_symbols") < 0.02),
-        _vote(share("n_repeat_words") > 0.4, share("n_repeat_words") < 0.2),
-        _vote(share("n_upper") > 0.3, share("n_upper") < 0.1),
-        _vote((chars < 3.0) | (chars > 10.0), chars.between(3.8, 7.0)),
-        _vote(lines > 0.3, lines < 0.1),
-        _vote(share("n_function") < 0.02, share("n_function") > 0.05),
-        _vote(alpha < 0.75, alpha > 0.9),
-        _vote(share("n_marks") > 0.3, share("n_marks") < 0.1),
+        _bad_if(share("n_symbols") > 0.1),
+        _bad_if(share("n_repeat_words") > 0.4),
+        _bad_if(share("n_upper") > 0.3),
+        _bad_if(lines > 0.4),
+        _bad_if(share("n_marks") > 0.3),
+        _bad_if(share("n_bare") > 0.2),
+        _vote((chars < 3.0) | (chars > 10.0), chars.between(4.0, 6.5)),
+        _vote(share("n_function") < 0.02, share("n_function") > 0.08),
+        _vote(alpha < 0.8, alpha > 0.92),
     ]
 
 
@@ -122,10 +133,15 @@ class RuleModel:
     prior: float  # share of good documents
     posterior: np.ndarray  # P(good) for each of the 3^rules patterns
 
-    @property
-    def lookup(self) -> Column:
-        """P(good) by pattern, as an array literal of a fixed size."""
-        return F.array(*[F.lit(float(p)) for p in self.posterior])
+    def quality(self, code: Column) -> Column:
+        """P(good) of a pattern, from a table whose size the number of rules sets."""
+        table = self.posterior
+
+        @F.pandas_udf("double")
+        def look_up(codes: pd.Series) -> pd.Series:
+            return pd.Series(table[codes.to_numpy()])
+
+        return look_up(code)
 
 
 def _signs(rules: int) -> np.ndarray:
@@ -173,10 +189,9 @@ def base_failed(f: str = "f") -> Column:
 
 def judged(measured: DataFrame, model: RuleModel, threshold: float = 0.5) -> DataFrame:
     """Add base_failed, quality (the posterior) and kept to a table with the struct column ``f``."""
-    quality = F.get(model.lookup, pattern("f"))
     return (
         measured.withColumn("base_failed", base_failed())
-        .withColumn("quality", quality)
+        .withColumn("quality", model.quality(pattern("f")))
         .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
     )
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricebench.llm import classifier, minhash, packing, rules, sharding, simhash
+from pricebench.llm import classifier, html_text, minhash, packing, pieces, rules, sharding, simhash
 from pricebench.llm.tables import table
 from pricebench.session import write_through
 
@@ -78,3 +78,15 @@ def minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return classifier.scored(docs, classifier.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model")).select(
+        "doc_id", F.size("ids").alias("n_ids"), "ids", "round_trip"
+    )

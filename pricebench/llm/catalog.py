@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricebench.llm import classifier, html_text, minhash, packing, pieces, rules, sharding, simhash
+from pricebench.llm import classifier, html_text, minhash, packing, pieces, repeats, rules, sharding, simhash
 from pricebench.llm.tables import table
 from pricebench.session import write_through
 
@@ -90,3 +90,15 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model")).select(
         "doc_id", F.size("ids").alias("n_ids"), "ids", "round_trip"
     )
+
+
+@query
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return repeats.without_repeats(docs).select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.col("cut.n_bytes").alias("n_bytes"),
+        (F.col("cut.n_bytes") - F.octet_length("cut.kept")).cast("long").alias("n_removed"),
+        F.size("cut.removed").cast("long").alias("n_spans"),
+        F.sha2("cut.kept", 256).alias("kept_sha256"),
+    )

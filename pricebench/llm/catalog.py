@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricebench.llm import classifier, html_text, minhash, packing, pieces, repeats, rules, sharding, simhash
+from pricebench.llm import classifier, html_text, minhash, packing, pieces, pii, repeats, rules, sharding, simhash
 from pricebench.llm.tables import table
 from pricebench.session import write_through
 
@@ -102,3 +102,15 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("cut.removed").cast("long").alias("n_spans"),
         F.sha2("cut.kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.found_spans(documents(spark, sf_dir))
+    counts = [pii.count_of("base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.named("base").cast("binary"), 256).alias("base_sha256"),
+        pii.named("spans").alias("spans"),
+    )

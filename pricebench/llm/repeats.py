@@ -1,13 +1,14 @@
 """Removal of repeated passages by longest previous factors, over the whole corpus.
 
 A byte goes if a string of 100 bytes that covers it also starts earlier. Suffixes that agree for 100 bytes
-must be brought together from all documents first. Every such string holds an anchor: a 16-byte gram whose
-hash is the least of 85 in a row, chosen from the string alone, so equal strings hold equal anchors at equal
-places. Anchors are sent to buckets by their hash.
-
-1. An anchor whose whole surroundings (all strings that hold it) occur earlier is settled: all of it repeats.
-   One row per task and surroundings is sent, however often they occur.
-2. Anchors that occur in different surroundings, the ends of shared passages, are sent with their text. Per
+must be brought together from all documents first. Every such string has an anchor: of its 85 grams of 16
+bytes the one with the least hash, the first of equal ones. The string alone decides, so equal strings have
+equal anchors at equal places. Strings that follow each other mostly share their anchor; the text that they
+cover together is the anchor's surroundings. Anchors are sent to buckets by their hash.
+
+1. An anchor whose whole surroundings occur earlier is settled: all of it repeats. One row per task and
+   surroundings is sent, however often they occur.
+2. Anchors that occur in different surroundings, the ends of shared passages, are sent with them. Per
    bucket a suffix order is made of it, and previous and next smaller positions give the longest previous
    factors: those of 100 bytes or more start a repeat.
 3. Anchors with very many different surroundings are not sent to one bucket: each of their 100-byte strings
@@ -47,11 +48,14 @@ def _sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
     return pick(values[: len(values) - (width - size)], values[width - size :]) if size < width else values
 
 
-def anchors(octets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors of texts that stand one after the other, cut at ``bounds``."""
+def anchors(octets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of texts that stand one after the other, cut at ``bounds``: the runs of strings with one anchor.
+
+    Gives the place and hash of each anchor, and the first and last start of the strings that it stands for.
+    """
     n = len(octets)
     if n < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     hashed, size = octets.astype(np.uint64) + np.uint64(1), 1
     while size < GRAM:
         hashed = hashed[:-size] * np.uint64(pow(int(BASE), size, 1 << 64)) + hashed[size:]
@@ -59,11 +63,27 @@ def anchors(octets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     hashed = mix(hashed) | np.uint64(1)
     least = _sliding(hashed, WINDOW, np.minimum)
     ends = np.repeat(bounds[1:], np.diff(bounds))[: len(least)]
-    least[np.arange(len(least)) + LENGTH > ends] = 0  # strings that would run over the end of a text
-    pad = np.zeros(WINDOW - 1, np.uint64)
-    chosen = _sliding(np.concatenate([pad, least, pad]), WINDOW, np.maximum) == hashed
-    places = np.flatnonzero(chosen)
-    return places, hashed[places]
+    valid = np.arange(LENGTH, len(least) + LENGTH) <= ends  # no string runs over the end of a text
+    # A new run starts when a lesser gram comes in, when the anchor drops out, and after an invalid string.
+    new = valid.copy()
+    new[1:] &= (least[1:] != least[:-1]) | (hashed[: len(least) - 1] == least[:-1]) | ~valid[:-1]
+    first = np.flatnonzero(new)
+    last_of_run = valid.copy()
+    last_of_run[:-1] &= new[1:] | ~valid[1:]
+    last = np.flatnonzero(last_of_run)
+    place = first.copy()
+    open_ = np.arange(len(first))
+    entering = first + WINDOW - 1
+    came_in = np.zeros(len(first), bool)
+    inner = first > 0
+    came_in[inner] = least[first[inner]] < least[first[inner] - 1]
+    came_in &= np.where(inner, valid[np.maximum(first - 1, 0)], False)
+    place[came_in] = entering[came_in]
+    open_ = open_[~came_in]
+    while len(open_):  # the first place from the start of the run on that holds the least hash
+        open_ = open_[hashed[place[open_]] != least[first[open_]]]
+        place[open_] += 1
+    return place, hashed[place], first, last
 
 
 def _chunks(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -80,20 +100,17 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 
 def _surroundings(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Of every anchor: index of its text, place there, hash, and a digest of all strings that hold it."""
+    """Of every anchor: index of its text, start and size of its surroundings, hash, and a digest of them."""
     found = []
-    for first, octets, bounds in _chunks(texts):
-        places, hashed = anchors(octets, bounds)
-        owner = np.searchsorted(bounds, places, side="right") - 1
-        own = places - bounds[owner]
-        low = np.maximum(bounds[owner], places - (WINDOW - 1))
-        high = np.minimum(bounds[owner + 1], places + LENGTH)
-        whole = octets.tobytes()
-        digest = xxhash.xxh3_64_intdigest
-        digests = [digest(whole[a:b], s) for a, b, s in zip(low.tolist(), high.tolist(), (places - low).tolist())]
-        found.append((owner + first, own, hashed, np.array(digests, np.uint64)))
+    for begin, octets, bounds in _chunks(texts):
+        place, hashed, first, last = anchors(octets, bounds)
+        owner = np.searchsorted(bounds, first, side="right") - 1
+        whole, digest = octets.tobytes(), xxhash.xxh3_64_intdigest
+        cuts = zip(first.tolist(), (last + LENGTH).tolist(), (place - first).tolist())
+        digests = np.array([digest(whole[a:b], s) for a, b, s in cuts], np.uint64)
+        found.append((owner + begin, first - bounds[owner], last - first + LENGTH, hashed, digests))
     if not found:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
@@ -115,7 +132,7 @@ def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, list[bytes]]:
     return batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), [t or b"" for t in column.to_pylist()]
 
 
-ANCHORS = "bucket int, base long, hash binary, digest binary, doc binary, place binary"
+ANCHORS = "bucket int, base long, hash binary, digest binary, doc binary, place binary, size binary"
 
 
 def _anchor_batches(hot: np.ndarray, buckets: int):
@@ -124,12 +141,12 @@ def _anchor_batches(hot: np.ndarray, buckets: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = _texts(batch)
-            owner, place, hashed, digest = _surroundings(texts)
+            owner, place, size, hashed, digest = _surroundings(texts)
             if not len(owner):
                 continue
             doc = ids[owner]
             order, new = _earliest((hashed, digest), doc, place)
-            doc, place, hashed, digest = doc[order], place[order], hashed[order], digest[order]
+            doc, place, size, hashed, digest = (c[order] for c in (doc, place, size, hashed, digest))
             spread = np.where(np.isin(hashed, hot), digest, hashed) if len(hot) else hashed
             bucket = (spread >> np.uint64(20)).astype(np.int64) % buckets
             bucket[~new] = buckets + doc[~new] % buckets
@@ -148,9 +165,10 @@ def _anchor_batches(hot: np.ndarray, buckets: int):
                         _packed(digest[here], "<u8") if open_ else b"",
                         _packed(doc[here] - base, "<u4" if int(doc[here].max()) - base < 1 << 32 else "<u8"),
                         _packed(place[here], "<u4"),
+                        _packed(size[here], "u1"),
                     )
                 )
-            types = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+            types = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], _names(ANCHORS))
 
     return rows
@@ -167,10 +185,11 @@ def _unpacked(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
         for d, p, base in zip(rows["doc"], place, rows["base"])
     ]
     hashed, digest = (np.frombuffer(b"".join(rows[c]), "<u8") for c in ("hash", "digest"))
-    return np.concatenate(doc), np.concatenate(place).astype(np.int64), hashed, digest
+    size = np.frombuffer(b"".join(rows["size"]), "u1").astype(np.int64)
+    return np.concatenate(doc), np.concatenate(place).astype(np.int64), size, hashed, digest
 
 
-VERDICTS = "k long, place long, hash long, state int"
+VERDICTS = "k long, start long, end long, hash long, state int"
 SETTLED, ASKED, ASKED_HOT = 0, 1, 2
 
 
@@ -179,19 +198,21 @@ def _settle(hot: np.ndarray, group_limit: int):
 
     def verdicts(rows: pd.DataFrame) -> pd.DataFrame:
         passed = rows["hash"].map(len) == 0
-        doc, place, _, _ = _unpacked(rows[passed]) if passed.any() else [np.zeros(0, np.int64)] * 4
-        parts = [(doc, place, np.zeros(len(doc), np.int64), np.full(len(doc), SETTLED))]
+        parts = []
+        if passed.any():
+            doc, place, size, _, _ = _unpacked(rows[passed])
+            parts.append((doc, place, place + size, np.zeros(len(doc), np.int64), np.full(len(doc), SETTLED)))
         if not passed.all():
-            doc, place, hashed, digest = _unpacked(rows[~passed])
+            doc, place, size, hashed, digest = _unpacked(rows[~passed])
             order, new = _earliest((hashed, digest), doc, place)
-            doc, place, hashed = doc[order], place[order], hashed[order]
-            parts.append((doc[~new], place[~new], np.zeros((~new).sum(), np.int64), np.full((~new).sum(), SETTLED)))
-            doc, place, hashed = doc[new], place[new], hashed[new]
-            _, which, count = np.unique(hashed, return_inverse=True, return_counts=True)
-            very = np.isin(hashed, hot) | (count[which] > group_limit)
+            again, first = order[~new], order[new]
+            _, which, count = np.unique(hashed[first], return_inverse=True, return_counts=True)
+            very = np.isin(hashed[first], hot) | (count[which] > group_limit)
             asked = very | (count[which] > 1)
-            state = np.where(very, ASKED_HOT, ASKED)
-            parts.append((doc[asked], place[asked], hashed[asked].view(np.int64), state[asked]))
+            state = np.where(very, ASKED_HOT, ASKED)[asked]
+            for at, code in ((again, np.full(len(again), SETTLED)), (first[asked], state)):
+                kept = np.where(code == SETTLED, 0, hashed[at].view(np.int64))
+                parts.append((doc[at], place[at], place[at] + size[at], kept, code))
         return pd.DataFrame(dict(zip(_names(VERDICTS), (np.concatenate(c) for c in zip(*parts)))))
 
     return verdicts
@@ -210,18 +231,13 @@ def _context_batches(buckets: int):
             strings: dict[bytes, tuple[int, int]] = {}
             repeated: list[tuple[int, int]] = []
             for k, text, asks in zip(ids.tolist(), texts, batch.column(2).to_pylist()):
-                seen = set()
                 for ask in asks:
-                    place = ask["place"]
-                    low, high = max(0, place - (WINDOW - 1)), min(len(text), place + LENGTH)
+                    low, high = ask["start"], ask["end"]
                     if ask["state"] == ASKED:
                         key = ((ask["hash"] >> 20) % buckets, False)
                         held.setdefault(key, []).append((k, low, high - low, text[low:high]))
                         continue
                     for start in range(low, high - LENGTH + 1):
-                        if start in seen:
-                            continue
-                        seen.add(start)
                         digest = xxhash.xxh3_128_digest(text[start : start + LENGTH])
                         before = strings.setdefault(digest, (k, start))
                         if before != (k, start):
@@ -259,15 +275,14 @@ def _repeat_starts(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     inside = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
     starts = np.repeat(begin, each) + inside
     owner, at = np.repeat(doc, each), np.repeat(place, each) + inside
-    # Surroundings of one document overlap: equal places are one suffix.
+    # The order of documents and places; rows that repeat an id and a place count as one.
     where = np.lexsort((at, owner))
     new = np.ones(len(where), bool)
     new[1:] = (owner[where[1:]] != owner[where[:-1]]) | (at[where[1:]] != at[where[:-1]])
-    position = np.cumsum(new) - 1
-    kept = where[new]
-    order, shared = suffix_order(text, starts[kept], position[new], LENGTH)
-    factors = previous_factors(order, shared, position[new])
-    again = kept[factors >= LENGTH]
+    position = np.empty(len(where), np.int64)
+    position[where] = np.cumsum(new) - 1
+    order, shared = suffix_order(text, starts, position, LENGTH)
+    again = previous_factors(order, shared, position) >= LENGTH
     return owner[again], at[again]
 
 
@@ -321,7 +336,7 @@ def very_common(keyed: DataFrame, total: int) -> np.ndarray:
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, _, hashed, digest = _surroundings(_texts(batch)[1])
+            _, _, _, hashed, digest = _surroundings(_texts(batch)[1])
             order, new = _earliest((hashed, digest), hashed, hashed)
             found, count = np.unique(hashed[order[new]], return_counts=True)
             many = count > 1
@@ -333,7 +348,7 @@ def very_common(keyed: DataFrame, total: int) -> np.ndarray:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """Spans (k, start, end) of bytes that earlier strings cover; they may overlap and run over a text's end."""
+    """Spans (k, start, end) of bytes that earlier strings cover; they may overlap."""
     keyed = _keyed(docs)
     total = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     hot, buckets = very_common(keyed, total), max(1, -(-total // BUCKET_BYTES))
@@ -341,13 +356,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     verdicts = write_through(sent.groupBy("bucket").applyInPandas(_settle(hot, HOT_GROUP), VERDICTS), "verdicts")
     asks = verdicts.filter(F.col("state") != SETTLED)
     bundles = max(1, -(-asks.count() // BUCKET_ANCHORS))
-    per_text = asks.groupBy("k").agg(F.collect_list(F.struct("place", "hash", "state")).alias("asks"))
+    per_text = asks.groupBy("k").agg(F.collect_list(F.struct("start", "end", "hash", "state")).alias("asks"))
     asked = keyed.join(per_text.hint("shuffle_hash"), "k").select("k", "text", "asks")
     contexts = asked.mapInArrow(_context_batches(bundles), CONTEXTS)
     compared = contexts.groupBy("bucket").applyInPandas(_find_repeats, SPANS)
-    settled = verdicts.filter(F.col("state") == SETTLED).select(
-        "k", F.greatest(F.col("place") - (WINDOW - 1), F.lit(0)).alias("start"), (F.col("place") + LENGTH).alias("end")
-    )
+    settled = verdicts.filter(F.col("state") == SETTLED).select("k", "start", "end")
     return settled.union(compared)
 
 

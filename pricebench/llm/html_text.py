@@ -46,6 +46,7 @@ MARKED = frozenset(
     "respond discussion search searchbox login toolbar pagination pager skip copyright disclaimer".split()
 )
 MARKED_OUTSIDE = frozenset("header masthead topbar".split())  # in an article these hold its title
+STATES = frozenset("has with no without is not js".split())  # "has-sidebar" says what a wrapper holds
 ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split()
 )
@@ -84,9 +85,12 @@ def _marked(name: str, attributes: str, inside: bool) -> bool:
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
         if key in ("class", "id"):
-            words = {w.lower() for w in PARTS.findall(value)}
-            if words & MARKED or not inside and words & MARKED_OUTSIDE:
-                return True
+            for token in value.split():
+                words = [w.lower() for w in PARTS.findall(token)]
+                if words and words[0] in STATES:
+                    continue
+                if not MARKED.isdisjoint(words) or not inside and not MARKED_OUTSIDE.isdisjoint(words):
+                    return True
     return False
 
 

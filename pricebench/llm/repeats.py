@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricebench.llm.bytewords import BASE, mix
@@ -36,7 +36,7 @@ BUCKET_BYTES = 8 << 20
 BUCKET_ANCHORS = 4096
 SAMPLE_BYTES, SAMPLE_SHARE = 64 << 20, 1 / 256
 HOT_IN_SAMPLE, HOT_HASHES, HOT_GROUP = 64, 100_000, 4096
-FIRST = -(2**63)  # a null id comes before all others
+FIRST = -(2**63)
 
 
 def _sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
@@ -319,10 +319,23 @@ def _joined(doc: np.ndarray, place: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"k": doc[first], "start": place[first], "end": place[last] + LENGTH})
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("k"), F.coalesce("text", F.lit("")).alias("text")
-    )
+def _key(text: Column, tag_bits: int) -> Column:
+    """One number per text, ordered like doc_id. Its last bits tell texts of one id apart.
+
+    Texts without an id come first, by a hash of the text.
+    """
+    hashed = F.xxhash64(F.coalesce(text, F.lit("")))
+    tag = hashed.bitwiseAND(F.lit((1 << tag_bits) - 1))
+    nameless = F.lit(FIRST) + hashed.bitwiseAND(F.lit((1 << 62) - 1))
+    own = F.shiftleft(F.col("doc_id").cast("long"), tag_bits).bitwiseOR(tag)
+    return F.when(F.col("doc_id").isNull(), nameless).otherwise(own)
+
+
+def _size_and_tag(docs: DataFrame) -> tuple[int, int]:
+    """Bytes of all texts, and how many bits the ids leave for telling texts apart, at most 16."""
+    widest = F.max(F.abs(F.col("doc_id").cast("long")))
+    row = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), widest.alias("widest")).first()
+    return row["bytes"] or 0, max(0, min(16, 62 - int(row["widest"] or 0).bit_length()))
 
 
 def very_common(keyed: DataFrame, total: int) -> np.ndarray:
@@ -347,10 +360,8 @@ def very_common(keyed: DataFrame, total: int) -> np.ndarray:
     return np.sort(top.column("hash").to_numpy().view(np.uint64))
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(keyed: DataFrame, total: int) -> DataFrame:
     """Spans (k, start, end) of bytes that earlier strings cover; they may overlap."""
-    keyed = _keyed(docs)
-    total = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     hot, buckets = very_common(keyed, total), max(1, -(-total // BUCKET_BYTES))
     sent = keyed.mapInArrow(_anchor_batches(hot, buckets), ANCHORS)
     verdicts = write_through(sent.groupBy("bucket").applyInPandas(_settle(hot, HOT_GROUP), VERDICTS), "verdicts")
@@ -395,10 +406,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     Adds n_bytes, removed (maximal runs of bytes), kept (the bytes left) and kept_text (the same, but a
     character of which only some bytes go stays). Order is by doc_id, then place: the first of equal
-    strings stays. Null texts are empty; a null id comes first of all; rows with one id are compared
-    with all others but not with each other at equal places. An empty table gives no rows.
+    strings stays. Null texts are empty. Texts without an id come first; texts that share an id follow
+    each other; a row that repeats both id and text is cut like the first. An empty table gives no rows.
     """
-    spans = repeated_spans(docs).groupBy("k").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    total, tag_bits = _size_and_tag(docs)
+    keyed = docs.select(_key(F.col("text"), tag_bits).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
+    spans = repeated_spans(keyed, total).groupBy("k").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     @F.pandas_udf("n_bytes long, removed array<struct<start: long, end: long>>, kept binary, kept_text string")
     def cut(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
@@ -412,6 +425,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         return pd.DataFrame(out, columns=["n_bytes", "removed", "kept", "kept_text"])
 
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("k"), row)
-    joined = keyed.join(spans.hint("shuffle_hash"), "k", "left")
+    rows = docs.select(_key(F.col("text"), tag_bits).alias("k"), row)
+    joined = rows.join(spans.hint("shuffle_hash"), "k", "left")
     return joined.select("row", cut(F.col("row.text"), F.col("spans")).alias("cut"))

@@ -4,7 +4,7 @@ Written apart from the Spark code: global windows and joins as SQL states them,
 regard for scale.
 """
 
-from pricebench.catalog.views import CATEGORIES, DAMPING, STOP_WORDS, VOCABULARY, WITHHELD
+from pricebench.catalog.views import BOW_TERMS, CATEGORIES, DAMPING, STOP_WORDS, TFIDF_TERMS, WITHHELD
 from pricebench.operators.requests import PRICE_SYSTEM, SUMMARY_SYSTEM
 
 W = r"[\p{L}\p{N}_]"
@@ -54,12 +54,14 @@ def damping(category: str = "category") -> str:
 
 TEXT = """coalesce(nullif(summary, ''), nullif("full", ''), title)"""
 
-ITEMS = """items AS (
-SELECT d.doc_id AS id, e.event_type AS category, replace(substr(d.text, 1, 40), chr(10), ' ') AS title,
+ITEMS = """openings AS (SELECT conv_id * 3 AS summed_id, min(text) AS said FROM conversations WHERE turn = 0 GROUP BY conv_id),
+items AS (
+SELECT d.doc_id AS id, e.event_type AS category, coalesce(p.p_name || ' ' || p.p_brand, 'untitled') AS title,
        e.value AS price, d.text AS "full",
        CASE WHEN d.doc_id % 4 <> 0 THEN CAST(e.user_id % 40 AS DOUBLE) / 8 END AS weight,
-       CASE WHEN d.doc_id % 3 = 0 THEN substr(d.text, 1, 200) WHEN d.doc_id % 3 = 1 THEN '' END AS summary
-FROM documents d JOIN events e ON d.doc_id = e.event_id
+       CASE WHEN d.doc_id % 3 = 0 THEN o.said WHEN d.doc_id % 3 = 1 THEN '' END AS summary
+FROM documents d JOIN events e ON d.doc_id = e.event_id LEFT JOIN part p ON d.doc_id = p.p_partkey
+LEFT JOIN openings o ON d.doc_id = o.summed_id
 WHERE e.value BETWEEN CAST(0.5 AS DOUBLE) AND CAST(999.49 AS DOUBLE))"""
 
 
@@ -99,7 +101,7 @@ LIMIT {size})"""
 
 
 LISTINGS = """listings AS (
-SELECT d.doc_id AS src_id, e.event_type AS category, replace(substr(d.text, 1, 40), chr(10), ' ') AS title,
+SELECT d.doc_id AS src_id, e.event_type AS category, p.p_name || ' ' || p.p_brand AS title,
        CASE WHEN d.doc_id % 17 = 0 THEN NULL WHEN d.doc_id % 19 = 0 THEN ''
             WHEN d.doc_id % 23 = 0 THEN concat('$', CAST(CAST(e.value AS DECIMAL(10,2)) AS VARCHAR))
             ELSE CAST(CAST(e.value AS DECIMAL(10,2)) AS VARCHAR) END AS price,
@@ -215,16 +217,17 @@ SELECT concat('m', CAST(m.k AS VARCHAR)) AS model, e.event_id AS id,
 FROM events e CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 3 UNION ALL SELECT 7) m)"""
 
 REPLIES = """replies AS (
-SELECT event_id AS id,
-       CASE event_id % 7 WHEN 0 THEN concat('$', CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR))
-         WHEN 1 THEN 'about $1,249.99 or so' WHEN 2 THEN 'I cannot say' WHEN 3 THEN '-5'
-         WHEN 4 THEN '.99' WHEN 5 THEN ' 12 or 13 '
-         ELSE CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR) END AS reply,
+SELECT event_id AS id, unnest(CASE WHEN event_id % 13 = 0 THEN [said, 'again 7'] ELSE [said] END) AS reply,
        CAST(100 + event_id % 50 AS BIGINT) AS prompt_tokens,
        CAST(event_id % 12 AS BIGINT) AS completion_tokens,
        CASE WHEN event_id % 5 = 0 THEN NULL
             ELSE CAST(event_id % 9 AS DOUBLE) / CAST(10000 AS DOUBLE) END AS cost
-FROM events)"""
+FROM (SELECT *, CASE WHEN event_id % 22 = 0 THEN ' ' || chr(10) WHEN event_id % 22 = 11 THEN NULL
+  ELSE CASE event_id % 7 WHEN 0 THEN concat('$', CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR))
+         WHEN 1 THEN 'about $1,249.99 or so' WHEN 2 THEN 'I cannot say' WHEN 3 THEN '-5'
+         WHEN 4 THEN '.99' WHEN 5 THEN ' 12 or 13 '
+         ELSE CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR) END END AS said FROM events)),
+answers AS (SELECT id, min(reply) AS reply FROM replies WHERE trim(reply, ' ' || chr(10)) <> '' GROUP BY id)"""
 
 
 def scored(source: str) -> str:
@@ -255,7 +258,9 @@ SELECT id, unnest(regexp_extract_all(lower({TEXT}), '[\p{{L}}\p{{N}}_]{{2,}}'))
 WHERE term NOT IN {listed(STOP_WORDS)}),
 tf AS (SELECT id, term, count(*) AS n FROM tokens GROUP BY id, term),
 terms AS (SELECT term, CAST(sum(n) AS BIGINT) AS n, count(*) AS documents FROM tf GROUP BY term),
-vocabulary AS (SELECT * FROM terms WHERE documents >= 2 ORDER BY n DESC, term LIMIT {VOCABULARY})"""
+ranked AS (SELECT *, row_number() OVER (ORDER BY n DESC, term) AS place FROM terms WHERE documents >= 2),
+vocabulary AS (SELECT * FROM ranked WHERE place <= {BOW_TERMS}),
+wide AS (SELECT * FROM ranked WHERE place <= {TFIDF_TERMS})"""
 )
 
 
@@ -324,7 +329,7 @@ ORACLES: dict[str, str] = {
 FROM listings WHERE category IN {listed(CATEGORIES)}""",
     ),
     "union_categories": sql(
-        LISTINGS, f"SELECT src_id, title, price, category FROM listings WHERE category IN {listed(CATEGORIES)}"
+        LISTINGS, "SELECT category, title, price FROM listings"
     ),
     "read_splits": sql(
         SPLIT, 'SELECT new_id AS id, title, category, price, "full", weight, summary, split FROM placed'
@@ -345,7 +350,7 @@ CASE WHEN ({number('price')}) IS NULL THEN 'price missing or not double' ELSE ''
     "scatter_points": sql(
         SCORED,
         """SELECT model, id, title, truth, guess, band,
-CASE band WHEN 'green' THEN '#2e9e5b' WHEN 'amber' THEN '#e0a100' ELSE '#d3453e' END AS colour,
+CASE band WHEN 'green' THEN '#1b7f5c' WHEN 'amber' THEN '#c98500' ELSE '#b3261e' END AS colour,
 max(greatest(truth, guess)) OVER (PARTITION BY model) AS top FROM banded""",
     ),
     "model_roundtrip": sql(SPLIT, "SELECT new_id AS id, true AS same FROM placed WHERE split = 'test'"),
@@ -443,7 +448,7 @@ text AS "full" FROM documents""",
 weighted AS (
 SELECT tf.id, tf.term,
        tf.n * (ln(CAST(1 + (SELECT count(*) FROM items) AS DOUBLE) / (1 + v.documents)) + 1) AS w
-FROM tf JOIN vocabulary v ON tf.term = v.term)""",
+FROM tf JOIN wide v ON tf.term = v.term)""",
         "SELECT id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY id)), 6) AS tfidf FROM weighted",
     ),
     "hand_features": sql(
@@ -504,10 +509,10 @@ CAST(0 AS DOUBLE) AS temperature, CAST(12 AS BIGINT) AS max_tokens FROM items"""
     "price_replies": sql(
         ITEMS + ",\n" + REPLIES,
         f"""SELECT i.id, i.price, greatest({reply_price('r.reply')}, CAST(0 AS DOUBLE)) AS guess
-FROM items i LEFT JOIN replies r ON i.id = r.id""",
+FROM items i LEFT JOIN answers r ON i.id = r.id""",
     ),
     "validation_mae": sql(
-        SPLIT + ",\n" + slice_of("validation", 50) + ",\n" + category_guess(TRAIN, "slice"),
+        SPLIT + ",\n" + slice_of("validation", 2000) + ",\n" + category_guess(TRAIN, "slice"),
         "SELECT round(avg(abs(guess - price)), 6) AS mae FROM scored_items",
     ),
     "score_texts": sql(
@@ -519,19 +524,19 @@ FROM documents""",
     "summary_requests": sql(
         ITEMS + ",\n" + REPLIES,
         f"""SELECT id, {text(SUMMARY_SYSTEM)} AS system, coalesce(nullif("full", ''), title) AS user FROM items
-WHERE coalesce(summary, '') = '' AND id NOT IN (SELECT id FROM replies WHERE id % 2 = 0)""",
+WHERE coalesce(summary, '') = '' AND id NOT IN (SELECT id FROM answers WHERE id % 2 = 0)""",
     ),
     "summary_requests_first": sql(
         SPLIT
         + """,
 firsts AS (SELECT split AS part, min(new_id) AS start FROM placed GROUP BY split)""",
         """SELECT new_id AS id, coalesce(nullif("full", ''), title) AS user FROM placed JOIN firsts ON split = part
-WHERE coalesce(summary, '') = '' AND new_id < start + 50""",
+WHERE coalesce(summary, '') = '' AND new_id < start + 250""",
     ),
     "apply_summaries": sql(
         ITEMS + ",\n" + REPLIES,
         f"""SELECT i.id, coalesce(nullif(i.summary, ''), {strip('r.reply')}, i.summary) AS summary
-FROM items i LEFT JOIN replies r ON i.id = r.id""",
+FROM items i LEFT JOIN answers r ON i.id = r.id""",
     ),
     "summary_usage": sql(
         REPLIES,
@@ -562,16 +567,16 @@ count(*) FILTER (band = 'red') AS red, count(*) AS total FROM banded GROUP BY mo
 format('{:.3f}', rmsle) AS rmsle, format('{:.3f}', r2) AS r2, format('{:.1f}%', hit_rate * 100) AS hit_rate FROM metrics""",
     ),
     "evaluation_slice": sql(
-        SPLIT + ",\n" + slice_of("test", 50),
+        SPLIT + ",\n" + slice_of("test", 250),
         "SELECT new_id AS id, id AS source_id, substr(title, 1, 40) AS title, price FROM slice",
     ),
     "test_sample_stats": sql(
-        SPLIT + ",\n" + slice_of("test", 50),
+        SPLIT + ",\n" + slice_of("test", 250),
         "SELECT count(*) AS n, round(avg(price), 6) AS mean_price, median(price) AS median_price FROM slice",
     ),
     "compare_models": sql(
         ",\n".join(
-            [SPLIT, baselines(50, ("random guess", "training average", "category average")), scored("scored_models")]
+            [SPLIT, baselines(250, ("random guess", "training average", "category average")), scored("scored_models")]
         ),
         f"SELECT {EVENT_METRICS} FROM metrics",
     ),
@@ -581,7 +586,7 @@ format('{:.3f}', rmsle) AS rmsle, format('{:.3f}', r2) AS r2, format('{:.1f}%',
                 DEDUP,
                 drawn("kept", "id"),
                 placed("drawn", "id"),
-                baselines(50, ("training average", "category average")),
+                baselines(250, ("training average", "category average")),
                 scored("scored_models"),
             ]
         ),

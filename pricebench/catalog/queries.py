@@ -25,15 +25,21 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SAMPLE_ROWS = 200
-SLICE_ROWS = 50
+SLICE_ROWS = evaluate.SLICE_ROWS
+VALIDATION_ROWS = 2_000
 CAP_ROWS = 300
 
 
-def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+def query(function: Query, name: str | None = None) -> Query:
+    QUERIES[name or function.__name__] = function
     return function
 
 
+def named(name: str) -> Callable[[Query], Query]:
+    """For queries whose own name would hide a function that they call."""
+    return lambda function: query(function, name)
+
+
 def r6(column: Column | str) -> Column:
     """Sums and means to six decimals, so that the order of summation does not show."""
     return F.round(column, 6)
@@ -78,8 +84,10 @@ def read_listings(spark, sf_dir):
 
 @query
 def union_categories(spark, sf_dir):
-    raw = V.listings(spark, sf_dir).select("src_id", "category", "title", "price")
-    return L.union_categories({c: raw.filter(F.col("category") == c).drop("category") for c in V.CATEGORIES})
+    """Every category's folder is read once."""
+    path = _raw_folder(spark, sf_dir)
+    tables = {c: L.read_folder(spark, f"{path}/category={c}") for c in V.EVENT_TYPES}
+    return L.union_categories(tables).select("category", "title", "price")
 
 
 @query
@@ -106,7 +114,7 @@ def split_counts(spark, sf_dir):
     return split.split_counts(V.split_items(spark, sf_dir))
 
 
-@query
+@named("validate_items")
 def validate(spark, sf_dir):
     rows = V.listings(spark, sf_dir).select(
         F.col("src_id").cast("string").alias("id"), "title", "category", "price", F.col("description").alias("full")
@@ -117,8 +125,6 @@ def validate(spark, sf_dir):
     )
 
 
-QUERIES["validate_items"] = QUERIES.pop("validate")
-
 
 @query
 def report_rows(spark, sf_dir):
@@ -321,13 +327,11 @@ def category_histogram(spark, sf_dir):
     return describe.category_histogram(V.items(spark, sf_dir))
 
 
-@query
+@named("curate")
 def curate_splits(spark, sf_dir):
     return curate(V.listings(spark, sf_dir), SAMPLE_ROWS, key="src_id", damping=V.DAMPING)
 
 
-QUERIES["curate"] = QUERIES.pop("curate_splits")
-
 
 # Items
 
@@ -362,12 +366,13 @@ def token_counts(spark, sf_dir):
 
 @query
 def vocabulary(spark, sf_dir):
-    return features.vocabulary(features.tokenise(V.items(spark, sf_dir), V.STOP_WORDS), V.VOCABULARY)
+    return features.vocabulary(features.tokenise(V.items(spark, sf_dir), V.STOP_WORDS), V.BOW_TERMS)
 
 
 def _vectorised(spark, sf_dir, tfidf):
     table = V.items(spark, sf_dir)
-    vectoriser = features.Vectoriser(V.VOCABULARY, tfidf, V.STOP_WORDS).fit(table)
+    size = V.TFIDF_TERMS if tfidf else V.BOW_TERMS
+    vectoriser = features.Vectoriser(size, tfidf, V.STOP_WORDS).fit(table)
     return features.term_entries(vectoriser.transform(table), vectoriser, ["id"])
 
 
@@ -530,18 +535,16 @@ def price_replies(spark, sf_dir):
 def validation_mae(spark, sf_dir):
     model = create("category-average").fit(V.part(spark, sf_dir, "train"))
     scored = model.transform(V.part(spark, sf_dir, "validation").select("id", "category", "price"))
-    return evaluate.validation_mae(scored, SLICE_ROWS).select(r6("mae").alias("mae"))
+    return evaluate.validation_mae(scored, VALIDATION_ROWS).select(r6("mae").alias("mae"))
 
 
-@query
+@named("score_texts")
 def score_free_texts(spark, sf_dir):
     model = create("category-average").fit(V.part(spark, sf_dir, "train"))
     scored = score_texts(V.table(spark, sf_dir, "documents").select("doc_id", "text"), model)
     return scored.select("doc_id", "title", r6("guess").alias("guess"))
 
 
-QUERIES["score_texts"] = QUERIES.pop("score_free_texts")
-
 
 # Summaries
 
@@ -635,14 +638,12 @@ def test_sample_stats(spark, sf_dir):
     return row.select("n", r6("mean_price").alias("mean_price"), "median_price")
 
 
-@query
+@named("compare_models")
 def compare_baselines(spark, sf_dir):
     models = [create(name) for name in ("random", "average", "category-average")]
     return compare_models(curated(spark, sf_dir), models, SLICE_ROWS)
 
 
-QUERIES["compare_models"] = QUERIES.pop("compare_baselines")
-
 
 @query
 def compare_all_models(spark, sf_dir):
@@ -662,6 +663,7 @@ def compare_all_models(spark, sf_dir):
     return compare_models(curated(spark, sf_dir), models, SLICE_ROWS)
 
 
+@query
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price filter, dedup, weighted sample, split, two baselines, leaderboard."""
     kept = dedup.deduplicate(V.items(spark, sf_dir)).drop("summary", "weight", "full")
@@ -671,5 +673,3 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = write_through(placed, "curated")
     return evaluate.leaderboard(compare(table, [create("average"), create("category-average")], SLICE_ROWS))
 
-
-QUERIES["flagship"] = flagship

@@ -6,18 +6,21 @@ from pyspark.sql import functions as F
 from pricebench.operators.split import train_val_test_split
 
 DAMPING = {"view": 0.5, "error": 0.05}
-CATEGORIES = ("view", "click", "error")
+CATEGORIES = ("view", "click", "error")  # the folders that read_listings is asked for
+EVENT_TYPES = ("view", "click", "purchase", "error", "signup")
 WITHHELD = "click"
 STOP_WORDS = ["the", "and", "of", "to", "in", "a", "is", "it", "un", "la", "de", "que", "der", "die", "el", "en"]
-VOCABULARY = 2_000
+BOW_TERMS = 20_000
+TFIDF_TERMS = 40_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _title(text: Column) -> Column:
-    return F.replace(F.substring(text, 1, 40), F.lit("\n"), F.lit(" "))
+def _title() -> Column:
+    """A column of its own: what the part with the document's number is called, and its brand."""
+    return F.concat(F.col("p_name"), F.lit(" "), F.col("p_brand"))
 
 
 def _cents(value: Column) -> Column:
@@ -25,23 +28,27 @@ def _cents(value: Column) -> Column:
 
 
 def _described(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents, events = table(spark, sf_dir, "documents"), table(spark, sf_dir, "events")
-    return documents.join(events, F.col("doc_id") == F.col("event_id"))
+    documents, events, part = (table(spark, sf_dir, name) for name in ("documents", "events", "part"))
+    priced = documents.join(events, F.col("doc_id") == F.col("event_id"))
+    return priced.join(part, F.col("doc_id") == F.col("p_partkey"), "left")
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third document is summed up by the opening turn of a conversation, where there is one."""
     third = F.col("doc_id") % 3
+    opening = table(spark, sf_dir, "conversations").filter("turn = 0").groupBy("conv_id").agg(F.min("text").alias("said"))
     return (
         _described(spark, sf_dir)
         .filter(F.col("value").between(0.5, 999.49))
+        .join(opening.select((F.col("conv_id") * 3).alias("summed_id"), "said"), F.col("doc_id") == F.col("summed_id"), "left")
         .select(
             F.col("doc_id").alias("id"),
             F.col("event_type").alias("category"),
-            _title(F.col("text")).alias("title"),
+            F.coalesce(_title(), F.lit("untitled")).alias("title"),
             F.col("value").alias("price"),
             F.col("text").alias("full"),
             F.when(F.col("doc_id") % 4 != 0, (F.col("user_id") % 40).cast("double") / 8).alias("weight"),
-            F.when(third == 0, F.substring("text", 1, 200)).when(third == 1, "").alias("summary"),
+            F.when(third == 0, F.col("said")).when(third == 1, "").alias("summary"),
         )
     )
 
@@ -78,11 +85,11 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         _described(spark, sf_dir)
-        .join(table(spark, sf_dir, "part"), F.col("doc_id") == F.col("p_partkey"))
+        .filter(F.col("p_partkey").isNotNull())
         .select(
             key.alias("src_id"),
             F.col("event_type").alias("category"),
-            _title(F.col("text")).alias("title"),
+            _title().alias("title"),
             price.alias("price"),
             F.col("text").alias("description"),
             F.split("text", "\n").alias("features"),
@@ -113,15 +120,18 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies by event, some of them blank, some given twice."""
     key = F.col("event_id")
     amount = _cents(F.col("value"))
     said = [F.concat(F.lit("$"), amount), "about $1,249.99 or so", "I cannot say", "-5", ".99", " 12 or 13 "]
     reply = amount
     for i, text in enumerate(said):
         reply = F.when(key % 7 == i, text).otherwise(reply)
+    blank = F.when(key % 22 == 0, F.lit(" \n")).when(key % 22 == 11, F.lit(None)).otherwise(reply)
+    again = F.when(key % 13 == 0, F.array(blank, F.lit("again 7"))).otherwise(F.array(blank))
     return table(spark, sf_dir, "events").select(
         key.alias("id"),
-        reply.alias("reply"),
+        F.explode(again).alias("reply"),
         (100 + key % 50).cast("bigint").alias("prompt_tokens"),
         (key % 12).cast("bigint").alias("completion_tokens"),
         F.when(key % 5 != 0, (key % 9).cast("double") / F.lit(10000.0)).alias("cost"),

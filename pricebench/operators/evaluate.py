@@ -1,11 +1,11 @@
-"""One harness for every model, over long predictions (model, id, title, truth, guess)."""
+"""Scores of models, from long predictions (model, id, title, truth, guess)."""
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricebench.functions.order import exact_median
-from pricebench.operators.joins import checked_lookup
 from pricebench.operators.split import first_rows
+from pricebench.session import write_through
 
 SLICE_ROWS = 250
 TITLE_CHARS = 40
@@ -13,7 +13,9 @@ WORST = 5
 # Dollars and share of the price within which a guess is green or amber.
 GREEN = (40, 0.2)
 AMBER = (80, 0.4)
-COLOURS = {"green": "#2e9e5b", "amber": "#e0a100", "red": "#d3453e"}
+# Colours of the chart's points.
+COLOURS = {"green": "#1b7f5c", "amber": "#c98500", "red": "#b3261e"}
+
 
 
 def absolute_error() -> Column:
@@ -118,9 +120,11 @@ def scatter_points(predictions: DataFrame) -> DataFrame:
     tops = predictions.groupBy("model").agg(F.max(F.greatest("truth", "guess")).alias("top"))
     colours = F.create_map(*[F.lit(x) for pair in COLOURS.items() for x in pair])
     points = error_bands(predictions).withColumn("colour", F.element_at(colours, F.col("band")))
-    return points.join(checked_lookup(tops), "model")
+    # Written, the tops have a size that Spark sees: a few models are broadcast, more are shuffled.
+    return points.join(write_through(tops, "tops"), "model")
 
 
-def validation_mae(scored: DataFrame, size: int = 2_000) -> DataFrame:
-    """Mean absolute dollar error over the first validation rows."""
-    return first_rows(scored, size).agg(F.avg(F.abs(F.col("guess") - F.col("price"))).alias("mae"))
+def validation_mae(scored: DataFrame, size: int | None = None) -> DataFrame:
+    """Mean absolute dollar error over the validation rows, or the first ``size`` of them."""
+    part = scored if size is None else first_rows(scored, size)
+    return part.agg(F.avg(F.abs(F.col("guess") - F.col("price"))).alias("mae"))

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 
 from pricebench.functions.text import or_null, strip, to_price
 from pricebench.operators.items import item_text
-from pricebench.operators.split import first_rows
 
 # The prompts that replies depend on.
 SUMMARY_SYSTEM = """Create a concise description of a product. Respond only in this format. Do not include part numbers.
@@ -32,27 +31,41 @@ def _messages(system: str, user: Column) -> Column:
     return F.array(message("system", F.lit(system)), message("user", user))
 
 
+def one_reply_each(replies: DataFrame) -> DataFrame:
+    """At most one reply per id, (id, reply): retries give several, and blank ones do not count.
+
+    Of several the least stays, in the order of their type. The choice is an aggregate, so
+    repeats are dropped before anything is shuffled.
+    """
+    numeric = isinstance(replies.schema["reply"].dataType, T.NumericType)
+    said = F.col("reply").isNotNull() if numeric else strip(F.col("reply")) != ""
+    return replies.filter(said).groupBy("id").agg(F.min("reply").alias("reply"))
+
+
+def _first_of_splits(items: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` rows of every split, whose starts come from one pass."""
+    starts = items.groupBy("split").agg(F.min("id").alias("_start"))
+    return items.join(starts, "split").filter(F.col("id") < F.col("_start") + limit).drop("_start")
+
+
 def summary_requests(items: DataFrame, replies: DataFrame | None = None, limit: int | None = None) -> DataFrame:
-    """One request per item that has neither a summary nor a reply already held.
+    """One request per item that has neither a summary nor a reply with text already held.
 
-    With ``limit`` only the first rows of each split are considered.
+    An item whose replies are all blank is asked again. With ``limit`` only the first rows of
+    each split are considered.
     """
     if limit is not None:
-        parts = [first_rows(items.filter(F.col("split") == name), limit) for name in ("train", "validation", "test")]
-        items = parts[0].unionByName(parts[1]).unionByName(parts[2])
+        items = _first_of_splits(items, limit)
     pending = items.filter(F.coalesce("summary", F.lit("")) == "")
     if replies is not None:
-        pending = pending.join(replies.select("id"), "id", "left_anti")
+        pending = pending.join(one_reply_each(replies).select("id"), "id", "left_anti")
     user = F.coalesce(or_null(F.col("full")), F.col("title"))
     return pending.select("id", _messages(SUMMARY_SYSTEM, user).alias("messages"))
 
 
 def apply_summaries(items: DataFrame, replies: DataFrame) -> DataFrame:
-    """Fill empty summaries from stripped replies; a summary already there stays.
-
-    ``replies`` holds one row per id at most.
-    """
-    given = replies.select("id", strip(F.col("reply")).alias("_reply"))
+    """Fill empty summaries from stripped replies; a summary already there stays."""
+    given = one_reply_each(replies).select("id", strip(F.col("reply")).alias("_reply"))
     filled = F.coalesce(or_null(F.col("summary")), F.col("_reply"), F.col("summary"))
     return items.join(given, "id", "left").withColumn("summary", filled).drop("_reply")
 
@@ -79,9 +92,9 @@ def zero_shot_requests(items: DataFrame) -> DataFrame:
 def price_replies(items: DataFrame, replies: DataFrame) -> DataFrame:
     """Add ``guess`` read out of each reply; no reply counts as no number, 0.0.
 
-    Replies may be text or already numbers. ``replies`` holds one row per id at most.
+    Replies may be text or already numbers; items stay single however many replies they have.
     """
     numeric = isinstance(replies.schema["reply"].dataType, T.NumericType)
     price = F.col("reply").cast("double") if numeric else to_price(F.col("reply"))
-    given = replies.select("id", F.greatest(price, F.lit(0.0)).alias("guess"))
+    given = one_reply_each(replies).select("id", F.greatest(price, F.lit(0.0)).alias("guess"))
     return items.join(given, "id", "left").withColumn("guess", F.coalesce("guess", F.lit(0.0)))

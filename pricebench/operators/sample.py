@@ -5,10 +5,9 @@ from pyspark.sql import functions as F
 
 from pricebench.functions.order import log_bucket, seeded_hash, take_smallest, uniform
 from pricebench.schemas import CATEGORY_DAMPING, SEED
+from pricebench.session import write_through
 
 PRICE_POWER = 2
-# Keys with an id and a split name take some 64 bytes each on every executor.
-MAX_BROADCAST_KEYS = 1_000_000
 
 
 def damping_factor(category: Column, damping: dict[str, float]) -> Column:
@@ -82,9 +81,12 @@ def balanced_sample(
     damping: dict[str, float] = CATEGORY_DAMPING,
     seed: int = SEED,
 ) -> DataFrame:
-    """Weighted sample of whole rows: drawn on keys, then joined back to the wide table."""
+    """Weighted sample of whole rows: drawn on keys, then joined back to the wide table.
+
+    The keys are written first, so that Spark picks the join from their size.
+    """
     chosen = sample_keys(items.select(key, "category", "price"), size, key, damping, seed).select(key)
-    return items.join(F.broadcast(chosen) if size <= MAX_BROADCAST_KEYS else chosen, key, "left_semi")
+    return items.join(write_through(chosen, "sample-keys"), key, "left_semi")
 
 
 def sample_summary(sample: DataFrame) -> DataFrame:

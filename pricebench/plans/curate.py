@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pricebench.functions.order import seeded_hash
 from pricebench.operators.dedup import content_key, digest, surviving
 from pricebench.operators.parse import parse_listings
-from pricebench.operators.sample import MAX_BROADCAST_KEYS, sample_keys
+from pricebench.operators.sample import sample_keys
 from pricebench.operators.split import MAX_TEST, MAX_VALIDATION, train_val_test_split
 from pricebench.schemas import CATEGORY_DAMPING, SEED
 from pricebench.session import write_through
@@ -29,7 +29,7 @@ def curate(
     listing column, the listings are read a second time for the chosen keys and nothing else
     is parsed again, so no wide table is written. Without one the parsed text is written
     next to those columns under a key of its own, and the order is drawn from the content.
-    The chosen keys are broadcast only while the sample size allows.
+    The chosen keys are written, so that Spark picks the last join from their size.
     """
     parsed = parse_listings(raw)
     content = F.col(key) if key else content_key(["title", "full"], ["category", "price", "weight"])
@@ -51,8 +51,7 @@ def curate(
     chosen = sample_keys(kept, size, "_title", damping, seed, F.col("_draw_hash"))
     chosen = write_through(chosen.select("_key", "_split_hash", "_title"), "sample")
     placed = train_val_test_split(chosen, "_title", validation, test, seed, hashed=F.col("_split_hash"))
-    placed = placed.select(F.col("_key").alias(key or "_key"), "id", "split")
-    hinted = F.broadcast(placed) if size <= MAX_BROADCAST_KEYS else placed
+    placed = write_through(placed.select(F.col("_key").alias(key or "_key"), "id", "split"), "placed")
     if key:
-        return parse_listings(raw.join(hinted, key))
-    return table.select(*parsed.columns, "_key").join(hinted, "_key").drop("_key")
+        return parse_listings(raw.join(placed, key))
+    return table.select(*parsed.columns, "_key").join(placed, "_key").drop("_key")

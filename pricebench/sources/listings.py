@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricebench.schemas import CATEGORIES, RAW
 
@@ -17,6 +18,12 @@ def read_listings(
     return listings if categories is None else listings.filter(F.col("category").isin(*categories))
 
 
+def read_folder(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """One category's folder, which does not name its category."""
+    schema = T.StructType([f for f in RAW.fields if f.name != "category"])
+    return spark.read.format(fmt).schema(schema).load(path)
+
+
 def union_categories(tables: dict[str, DataFrame]) -> DataFrame:
     """Tables that do not name their category, as one table that does."""
     named = [df.withColumn("category", F.lit(name)) for name, df in tables.items()]

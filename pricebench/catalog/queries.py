@@ -398,7 +398,7 @@ def hashed_features(spark, sf_dir):
 @query
 def svd_features(spark, sf_dir):
     train, _, test = parts(spark, sf_dir)
-    model = create("svd-ridge", components=16, max_features=V.VOCABULARY, rows=None, stop_words=V.STOP_WORDS)
+    model = create("svd-ridge", components=16, max_features=V.TFIDF_TERMS, stop_words=V.STOP_WORDS)
     reduced = model.fit(train).reduce(test)
     return reduced.select("id", F.posexplode(vector_array("reduced")).alias("component", "value")).select(
         "id", "component", F.abs("value").alias("size")
@@ -475,20 +475,18 @@ def model_features(spark, sf_dir):
 
 @query
 def model_bow_ridge(spark, sf_dir):
-    return _score(spark, sf_dir, "bow-linear", max_features=V.VOCABULARY, rows=None, stop_words=V.STOP_WORDS)
+    return _score(spark, sf_dir, "bow-linear", max_features=V.BOW_TERMS, stop_words=V.STOP_WORDS)
 
 
 @query
 def model_svd_ridge(spark, sf_dir):
-    return _score(
-        spark, sf_dir, "svd-ridge", components=16, max_features=V.VOCABULARY, rows=None, stop_words=V.STOP_WORDS
-    )
+    return _score(spark, sf_dir, "svd-ridge", components=16, max_features=V.TFIDF_TERMS, stop_words=V.STOP_WORDS)
 
 
 @query
 def model_random_forest(spark, sf_dir):
     return _score(
-        spark, sf_dir, "random-forest", max_features=300, trees=10, max_depth=6, rows=None, stop_words=V.STOP_WORDS
+        spark, sf_dir, "random-forest", max_features=300, trees=10, max_depth=6, stop_words=V.STOP_WORDS
     )
 
 
@@ -502,15 +500,13 @@ def model_boosted_trees(spark, sf_dir):
         rounds=12,
         max_depth=4,
         patience=4,
-        rows=None,
-        validation_rows=5_000,
         stop_words=V.STOP_WORDS,
     )
 
 
 @query
 def model_hashed_huber(spark, sf_dir):
-    return _score(spark, sf_dir, "hashed-huber", rows=None, stop_words=V.STOP_WORDS)
+    return _score(spark, sf_dir, "hashed-huber", stop_words=V.STOP_WORDS)
 
 
 @query
@@ -647,7 +643,7 @@ def compare_baselines(spark, sf_dir):
 
 @query
 def compare_all_models(spark, sf_dir):
-    words = {"max_features": 300, "rows": None, "stop_words": V.STOP_WORDS}
+    words = {"max_features": 300, "stop_words": V.STOP_WORDS}
     models = [
         create("random"),
         create("average"),
@@ -657,7 +653,7 @@ def compare_all_models(spark, sf_dir):
         create("svd-ridge", components=8, **words),
         create("random-forest", trees=5, max_depth=5, **words),
         create("boosted-trees", rounds=5, max_depth=3, **words),
-        create("hashed-huber", rows=None, stop_words=V.STOP_WORDS),
+        create("hashed-huber", stop_words=V.STOP_WORDS),
         create("zero-shot", replies=V.replies(spark, sf_dir)),
     ]
     return compare_models(curated(spark, sf_dir), models, SLICE_ROWS)

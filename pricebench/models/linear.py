@@ -1,4 +1,9 @@
-"""Linear models on log prices."""
+"""Linear models on log prices.
+
+``rows`` limits training to the first rows; by default a model learns from all of them.
+"""
+
+import warnings
 
 import numpy as np
 import pandas as pd
@@ -15,8 +20,9 @@ from pyspark.sql import types as T
 from pricebench.models.base import PipelinePriceModel, PriceModel
 from pricebench.operators.features import Vectoriser, hashing_stages, log_target, train_cap
 
-TRAIN_ROWS = 50_000
+RIDGE_STEPS = 300
 MAX_NORMAL_FEATURES = 4_096
+BLOCK = 1 << 22  # numbers gathered at once by a projection
 CLASSICAL_FLOOR = 0.5
 HAND_FEATURES = ["weight_value", "weight_missing", "text_length", "word_count"]
 HAND_SQL = """
@@ -39,12 +45,14 @@ def with_label(items: DataFrame) -> DataFrame:
     return items.withColumn("label", log_target(F.col("price")))
 
 
-def ridge(labelled: DataFrame, alpha: float, features: int) -> LinearRegression:
+def ridge(labelled: DataFrame, alpha: float, features: int) -> LinearRegressionModel:
     """Minimise |y - Xw|² + alpha |w|² with a free intercept.
 
     Spark divides the loss by n and works on labels scaled by their deviation, so the same
     penalty is alpha * sd(y) / n: population deviation in the normal equations, sample
-    deviation in L-BFGS. The normal equations need one pass; they stop at 4,096 features.
+    deviation in L-BFGS. The normal equations need one pass and are exact; they stop at 4,096
+    features. L-BFGS comes close only after thousands of passes, so a fit that has not
+    settled within its steps warns.
     """
     y = F.col("label")
     row = labelled.agg(
@@ -52,14 +60,17 @@ def ridge(labelled: DataFrame, alpha: float, features: int) -> LinearRegression:
     ).first()
     normal = features <= MAX_NORMAL_FEATURES
     deviation = (row["population"] if normal else row["sample"]) or 1.0
-    return LinearRegression(
+    fitted = LinearRegression(
         regParam=alpha * deviation / row["n"],
         elasticNetParam=0.0,
         standardization=False,
         solver="normal" if normal else "l-bfgs",
-        maxIter=300,
+        maxIter=RIDGE_STEPS,
         tol=1e-9,
-    )
+    ).fit(labelled)
+    if not normal and fitted.summary.totalIterations >= RIDGE_STEPS:
+        warnings.warn(f"ridge regression has not settled within {RIDGE_STEPS} steps", stacklevel=2)
+    return fitted
 
 
 class HandFeatureRegression(PipelinePriceModel):
@@ -86,7 +97,7 @@ class WordCountRidge(PipelinePriceModel):
     def __init__(
         self,
         max_features: int = 20_000,
-        rows: int | None = TRAIN_ROWS,
+        rows: int | None = None,
         alpha: float = 1.0,
         stop_words: list[str] | None = None,
     ):
@@ -98,7 +109,7 @@ class WordCountRidge(PipelinePriceModel):
         train = train_cap(train, self.rows)
         self.vectoriser.fit(train)
         labelled = with_label(self.vectoriser.transform(train)).select("features", "label")
-        fitted = ridge(labelled, self.alpha, len(self.vectoriser.terms)).fit(labelled)
+        fitted = ridge(labelled, self.alpha, len(self.vectoriser.terms))
         self.model = PipelineModel([*self.vectoriser.model.stages, fitted, guess_stage()])
         return self
 
@@ -117,11 +128,23 @@ def truncated_svd(vectors: DataFrame, k: int, column: str = "features") -> tuple
 def project(df: DataFrame, basis: np.ndarray, name: str, column: str = "features") -> DataFrame:
     """Add ``x · V`` as a dense vector; each executor gets the basis once, as a broadcast."""
     shared = df.sparkSession.sparkContext.broadcast(basis)
+    width = basis.shape[1]
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def times_basis(indices: pd.Series, values: pd.Series) -> pd.Series:
-        v = shared.value
-        return pd.Series([x @ v[i] for i, x in zip(indices, values)])
+        ends = np.cumsum([0, *map(len, indices)])
+        out, start = np.zeros((len(indices), width)), 0
+        while start < len(out):
+            # So many rows at once that the gathered basis rows stay within a block.
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] + BLOCK // width, "right")) - 1)
+            starts = ends[start:stop] - ends[start]
+            filled = np.flatnonzero(np.diff(ends[start : stop + 1]))
+            if len(filled):
+                weights = np.concatenate(list(values[start:stop]))[:, None]
+                gathered = shared.value[np.concatenate(list(indices[start:stop]))] * weights
+                out[start + filled] = np.add.reduceat(gathered, starts[filled], axis=0)
+            start = stop
+        return pd.Series(list(out))
 
     entry = F.unwrap_udt(column)
     return df.withColumn(name, array_to_vector(times_basis(entry["indices"], entry["values"])))
@@ -136,7 +159,7 @@ class SvdRidge(PriceModel):
         self,
         components: int = 300,
         max_features: int = 40_000,
-        rows: int | None = TRAIN_ROWS,
+        rows: int | None = None,
         alpha: float = 1.0,
         stop_words: list[str] | None = None,
     ):
@@ -156,7 +179,7 @@ class SvdRidge(PriceModel):
         labelled = with_label(project(vectors, self.basis, "reduced")).select(
             F.col("reduced").alias("features"), "label"
         )
-        self.linear = ridge(labelled, self.alpha, k).fit(labelled)
+        self.linear = ridge(labelled, self.alpha, k)
         vectors.unpersist()
         return self
 
@@ -199,7 +222,7 @@ class HashedHuber(PipelinePriceModel):
     def __init__(
         self,
         buckets: int = 5_000,
-        rows: int | None = 100_000,
+        rows: int | None = None,
         penalty: float = 1.0,
         max_iter: int = 100,
         stop_words: list[str] | None = None,

@@ -1,11 +1,14 @@
-"""Forest and boosted trees on log prices."""
+"""Forest and boosted trees on log prices.
+
+``rows`` and ``validation_rows`` limit what is read to the first rows; by default all are.
+"""
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 
 from pricebench.models.base import PipelinePriceModel
-from pricebench.models.linear import TRAIN_ROWS, guess_stage, with_label
+from pricebench.models.linear import guess_stage, with_label
 from pricebench.operators.features import Vectoriser, train_cap
 from pricebench.operators.split import first_rows
 from pricebench.schemas import SEED
@@ -22,7 +25,7 @@ class Forest(PipelinePriceModel):
         self,
         max_features: int = 10_000,
         trees: int = 100,
-        rows: int | None = 20_000,
+        rows: int | None = None,
         max_depth: int = 30,
         stop_words: list[str] | None = None,
     ):
@@ -75,8 +78,8 @@ class BoostedTrees(PipelinePriceModel):
         max_features: int = 20_000,
         rounds: int = 600,
         max_depth: int = 8,
-        rows: int | None = TRAIN_ROWS,
-        validation_rows: int = 5_000,
+        rows: int | None = None,
+        validation_rows: int | None = None,
         patience: int = 40,
         stop_words: list[str] | None = None,
     ):
@@ -107,7 +110,7 @@ class BoostedTrees(PipelinePriceModel):
         labelled = with_label(self.vectoriser.transform(train)).select("features", "label").persist()
         fitted = self._booster(self.rounds).fit(labelled)
         if validation is not None:
-            held = first_rows(validation, self.validation_rows)
+            held = validation if self.validation_rows is None else first_rows(validation, self.validation_rows)
             held = with_label(self.vectoriser.transform(held)).select("features", "label")
             keep = rounds_to_keep(fitted.evaluateEachIteration(held, "squared"), self.patience)
             if keep < self.rounds:

@@ -76,10 +76,7 @@ def test_scatter(spark):
     assert {r["top"] for r in points} == {800.0} and len(points) == 4
 
 
-def test_scatter_beyond_the_lookup_limit(spark, monkeypatch):
-    from pricebench.operators import joins
-
-    monkeypatch.setattr(joins.checked_lookup, "__defaults__", (1,))
+def test_scatter_of_two_models(spark):
     df = predictions(spark, FOUR, "a").unionByName(predictions(spark, FOUR, "b"))
     assert E.scatter_points(df).count() == 8
 

@@ -10,10 +10,13 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from pricebench.catalog import views as V
+from pricebench.models import linear
 from pricebench.models.linear import CLASSICAL_FLOOR, ridge, truncated_svd
+from pricebench.models.base import PriceModel
 from pricebench.models.registry import REGISTRY, create
 from pricebench.models.trees import rounds_to_keep
 from pricebench.operators import features as FE
+from pricebench.operators.evaluate import leaderboard
 from pricebench.plans.compare import compare, compare_models
 from pricebench.plans.train import score_texts, train_and_save
 from pricebench.session import write_through
@@ -118,7 +121,7 @@ def test_ridge_solvers_agree_with_the_closed_form(spark, features):
     x = rng.normal(size=(200, 3)) * [1.0, 5.0, 0.2]
     y = x @ [0.3, -0.1, 2.0] + 1.5 + rng.normal(size=200)
     df = spark.createDataFrame([(Vectors.dense(v), float(t)) for v, t in zip(x, y)], ["features", "label"])
-    fitted = ridge(df, 7.0, features).fit(df)
+    fitted = ridge(df, 7.0, features)
     w, b = closed_form_ridge(x, y, 7.0)
     assert np.allclose(fitted.coefficients.toArray(), w, atol=1e-6) and fitted.intercept == pytest.approx(b, abs=1e-6)
 
@@ -138,6 +141,16 @@ def test_svd(spark, train, test, tmp_path):
     assert guesses(create("svd-ridge").load(f"{tmp_path}/svd"), test) == pytest.approx(found)
 
 
+@pytest.mark.parametrize("block", [1, 1 << 22])
+def test_projection_of_empty_rows(spark, monkeypatch, block):
+    monkeypatch.setattr(linear, "BLOCK", block)
+    basis = np.arange(8.0).reshape(4, 2)
+    entries = [{}, {0: 2.0, 3: 1.0}, {}, {1: 1.0}, {}]
+    df = spark.createDataFrame([(i, Vectors.sparse(4, e)) for i, e in enumerate(entries)], ["n", "features"]).coalesce(1)
+    found = [r["out"].toArray().tolist() for r in linear.project(df, basis, "out").orderBy("n").collect()]
+    assert found == [[0, 0], [6, 9], [0, 0], [2, 3], [0, 0]]
+
+
 def test_random_forest_stays_below_the_top_price(train, test):
     model = create("random-forest", max_features=60, trees=4, max_depth=4, **SMALL).fit(train)
     top = train.agg(F.max("price")).first()[0]
@@ -187,12 +200,32 @@ def test_baselines(spark, train, test):
     assert all(r["guess"] == pytest.approx(overall) for r in score_texts(texts, model).collect())
 
 
-def test_category_average_beyond_the_lookup_limit(train, test, monkeypatch):
-    from pricebench.operators import joins
+@pytest.mark.parametrize("name", ["average", "category-average"])
+def test_baselines_hold_and_save_their_state(train, test, name, tmp_path):
+    model = create(name).fit(train)
+    before = guesses(model, test)
+    model.save(str(tmp_path / "model"))
+    assert guesses(create(name).load(str(tmp_path / "model")), test) == pytest.approx(before)
+
+
+def test_each_row_is_scored_once(spark, curated):
+    scored = spark.sparkContext.accumulator(0)
+
+    class Counting(PriceModel):
+        display_name = "counting"
+
+        def transform(self, items):
+            @F.pandas_udf("double")
+            def count(ids):
+                scored.add(len(ids))
+                return ids * 1.0
+
+            return items.withColumn("guess", count("id"))
 
-    small = guesses(create("category-average").fit(train), test)
-    monkeypatch.setattr(joins.checked_lookup, "__defaults__", (1,))
-    assert guesses(create("category-average").fit(train), test) == pytest.approx(small)
+    predictions = compare(curated, [Counting()], 20)
+    leaderboard(predictions).collect()
+    predictions.count()
+    assert scored.value == predictions.count() > 0
 
 
 def test_training_average_has_no_r2(curated):

@@ -66,7 +66,9 @@ class Vocabulary:
         self.names = ["", *whole]
         self.numbers = {t: n for n, t in enumerate(self.names) if n}
         self.sizes = [len(t) for t in self.names]
-        self.tails = {t[i:] for t in whole for i in range(len(t))}
+        # Every ending of a piece, with the piece's number where it is one itself and 0 where it is not.
+        self.tails = {t[i:]: 0 for t in whole for i in range(len(t))} | self.numbers
+        self.number_ids = [self.unknown_id, *map(self.ids.__getitem__, whole)]
 
     def merge(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
         """Plain merging of a short text: its symbols, and the last pair that was merged."""
@@ -122,7 +124,7 @@ class Vocabulary:
         ``ends[i]`` is the piece that ends ``i`` characters after the last boundary given out. Only the
         window of the longest piece and what is not yet certain before it are kept.
         """
-        tails, numbers, verdicts, sizes = self.tails, self.numbers, self.verdicts, self.sizes
+        tail, verdict, sizes = self.tails.get, self.verdicts.get, self.sizes
         given: list[int] = []
         base, ends = 0, [0]
         for end in range(1, len(run) + 1):
@@ -130,16 +132,15 @@ class Vocabulary:
             found = 0
             while start > base:
                 start -= 1
-                piece = run[start:end]
-                if piece not in tails:
+                number = tail(run[start:end])
+                if number is None:
                     break
-                number = numbers.get(piece, 0)
                 if number:
                     before = ends[start - base] if start > base else (given[-1] if given else 0)
                     if before <= 0:  # the start of the run, or a character that is in no piece
                         stays = True
                     else:
-                        stays = verdicts.get(before << 32 | number)
+                        stays = verdict(before << 32 | number)
                         if stays is None:
                             stays = self.judge(before, number)
                     if stays:
@@ -177,10 +178,13 @@ class Vocabulary:
         return back[::-1]
 
     def encode_run(self, run: str) -> bytes:
+        numbers, named = self.search(run), self.number_ids
+        if min(numbers) > 0:
+            return array("i", [named[n] for n in numbers]).tobytes()
         ids: list[int] = []
-        for number in self.search(run):
+        for number in numbers:
             if number > 0:
-                ids.append(self.ids[self.names[number]])
+                ids.append(named[number])
             elif self.byte_ids:
                 ids += [self.byte_ids[b] for b in chr(~number).encode()]
             else:

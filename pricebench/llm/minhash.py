@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricebench.llm.bytewords import shingles, word_hashes
-from pricebench.llm.simhash import components, lowest_labels
+from pricebench.llm.simhash import LOWER, components, lowest_labels
 from pricebench.session import write_through
 
 WIDTH = 5
@@ -158,15 +158,17 @@ def hex_print(name: str) -> Column:
     return F.lower(F.hex(name))
 
 
-def _sketches(docs: DataFrame) -> DataFrame:
-    """Per row: the signature, the distinct shingle hashes, and a digest of them."""
+def _sketches(docs: DataFrame, lower: bool) -> DataFrame:
+    """Per row: the signature, the distinct shingle hashes, and the node, a hash of those that copies share."""
 
-    @F.pandas_udf("print binary, shingles binary, digest string")
+    @F.pandas_udf("node long, print binary, shingles array<long>")
     def sketch(texts: pd.Series) -> pd.DataFrame:
-        found = [np.unique(shingles(word_hashes((t or "").encode()), WIDTH)) for t in texts]
-        octets = [f.astype("<u8").tobytes() for f in found]
-        digests = [hashlib.sha256(o).hexdigest() for o in octets]
-        return pd.DataFrame({"print": [_print(signature(f)) for f in found], "shingles": octets, "digest": digests})
+        raw = [(t or "").encode() for t in texts]
+        found = [np.unique(shingles(word_hashes(r.translate(LOWER) if lower else r), WIDTH)) for r in raw]
+        nodes = [int.from_bytes(hashlib.sha256(f.astype("<u8").tobytes()).digest()[:8], "little", signed=True) for f in found]
+        prints = [_print(signature(f)) for f in found]
+        sets = pd.Series([f.view(np.int64) for f in found], dtype="object")
+        return pd.DataFrame({"node": pd.Series(nodes, dtype="int64"), "print": prints, "shingles": sets})
 
     return docs.select("doc_id", sketch("text").alias("s")).select("doc_id", "s.*")
 
@@ -191,44 +193,103 @@ def _links_of_bands(rows: pd.DataFrame) -> pd.DataFrame:
     high, low = [], []
     for _, band in rows.sort_values("node").groupby("key", sort=False):
         node = band["node"].to_numpy()
-        label = linked_sets([np.frombuffer(s, "<u8") for s in band["shingles"]])
+        label = linked_sets([np.asarray(s, np.int64) for s in band["shingles"]])
         moved = np.flatnonzero(label != np.arange(len(node)))
         high.append(node[moved])
         low.append(node[label[moved]])
     return pd.DataFrame({"a": np.concatenate(high), "b": np.concatenate(low)}, dtype="int64")
 
 
-def near_duplicates(docs: DataFrame, bands: int = 32, most: int = 256) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): the smallest doc_id that near copies reach.
+def _alike() -> Column:
+    """Is the Jaccard similarity of the sets ``x`` and ``y`` 0.8 or more? Two empty sets are one node and never asked."""
+    shared = F.size(F.array_intersect("x", "y"))
+    return 5 * shared >= 4 * (F.size("x") + F.size("y") - shared)
 
-    Texts with the same shingles are one node. Nodes that share a band of the signature meet in Spark,
-    and their Jaccard similarity is verified on the whole shingle sets; with 32 bands of 4 places a pair
-    at 0.8 is missed once in ten million. A band with more than ``most`` members is split into blocks and
-    every pair of blocks compared. Null and blank texts are one class; null ids are not read.
+
+def _sets_of(sketches: DataFrame, asked: DataFrame) -> DataFrame:
+    """The shingle set of each node of ``asked``."""
+    rows = sketches.select("node", "shingles").join(asked.select("node").distinct(), "node", "left_semi")
+    return rows.groupBy("node").agg(F.first("shingles").alias("shingles"))
+
+
+def _open_lists(crowded: DataFrame, roots: DataFrame, most: int) -> DataFrame:
+    """Comparisons still to make, as (key, node): all nodes under one key meet.
+
+    Links inside a list only matter between nodes that are not joined yet. So a list that is one class is
+    done, and in a list of more than ``most`` nodes those outside its largest class, in blocks, meet every
+    block; a class of many copies is not compared with itself.
     """
-    named = docs.filter("doc_id IS NOT NULL")
-    sketches = write_through(_sketches(named), "sketches")
-    nodes = sketches.groupBy("digest").agg(
-        F.min("doc_id").cast("long").alias("node"), F.first("print").alias("print"), F.first("shingles").alias("shingles")
+    half = max(1, most // 2)
+    member = crowded.filter("n > 2").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    classes = member.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    lists = (
+        classes.groupBy("key")
+        .agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("main"))
+        .filter("classes > 1")
+        .select("key", "n", F.col("main.root").alias("main"), F.col("main.n").alias("inside"))
     )
+    outer, inner = F.ceil((F.col("n") - F.col("inside")) / half), F.ceil(F.col("inside") / half)
+    place, within = F.xxhash64("node", F.lit("block")), F.col("root") == F.col("main")
+    mine = F.when(within, F.col("outer") + F.pmod(place, "inner")).otherwise(F.pmod(place, "outer"))
+    others = F.sequence(F.lit(0).cast("long"), F.col("outer") + F.when(within, 0).otherwise(F.col("inner")) - 1)
+    short = F.col("n") <= most
+    return (
+        member.join(lists, "key")
+        .withColumns({"outer": outer, "inner": inner})
+        .withColumn("mine", F.when(short, 0).otherwise(mine))
+        .withColumn("other", F.explode(F.when(short, F.array(F.lit(0).cast("long"))).otherwise(others)))
+        .select("node", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"))
+    )
+
+
+def _roots(sketches: DataFrame, bands: int, most: int) -> DataFrame:
+    """The smallest node that each linked node reaches, as (node, root).
+
+    Every list of a band is first compared with its smallest node; that settles lists of two and joins
+    most copies. What is not joined yet inside a list is then compared in full.
+    """
+    nodes = write_through(sketches.groupBy("node").agg(F.first("print").alias("print")), "nodes")
     places = 2 * PLACES // bands
     keys = [F.xxhash64(F.lit(i), F.substring("print", 1 + i * places, places)) for i in range(bands)]
     postings = nodes.select("node", F.explode(F.array(*keys)).alias("key"))
-    sizes = postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    blocks = F.ceil(2 * F.col("n") / most).cast("int")
-    mine = F.when(F.col("n") > most, F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).otherwise(0)
-    others = F.when(F.col("n") > most, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))
-    met = (
-        postings.join(sizes, "key")
-        .withColumn("blocks", blocks)
-        .withColumn("mine", mine)
-        .withColumn("other", F.explode(others))
-        .select("node", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"))
-    )
-    links = met.join(nodes.select("node", "shingles"), "node").groupBy("key").applyInPandas(
-        _links_of_bands, "a long, b long"
-    )
+    lists = postings.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    crowded = write_through(postings.join(lists, "key"), "bands")
+    sets = write_through(_sets_of(sketches, crowded), "shingle-sets")
+    pairs = crowded.filter("node != first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
+    x, y = (sets.select(F.col("node").alias(n), F.col("shingles").alias(s)) for n, s in (("a", "x"), ("b", "y")))
+    links = write_through(pairs.join(x, "a").join(y, "b").filter(_alike()).select("a", "b"), "star-links")
     roots = components(links)
-    classes = nodes.select("digest", "node").join(roots, "node", "left")
-    named_class = classes.select("digest", F.coalesce("root", "node").alias("class_id"))
-    return sketches.select("doc_id", "digest").join(named_class, "digest").select("doc_id", "class_id")
+    met = write_through(_open_lists(crowded, roots, most), "open-lists")
+    if met.isEmpty():
+        return roots
+    more = met.join(sets, "node").groupBy("key").applyInPandas(_links_of_bands, "a long, b long")
+    return components(links.union(more))
+
+
+def near_duplicates(docs: DataFrame, bands: int = 32, most: int = 256, lower: bool = False) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): the smallest doc_id that near copies reach.
+
+    Texts with the same shingles are one node. Nodes that share a band of the signature meet in Spark,
+    and their Jaccard similarity is verified on the whole shingle sets; with 32 bands of 4 places a pair
+    at 0.8 is missed once in ten million. ``most`` bounds a comparison, not a list: longer lists are cut
+    into blocks that meet. Null and blank texts are one class; null ids are not read. With ``lower``,
+    ASCII letters count the same in either case.
+    """
+    named = docs.filter("doc_id IS NOT NULL")
+    sketches = write_through(_sketches(named, lower), "sketches")
+    placed = sketches.select("doc_id", "node").join(_roots(sketches, bands, most), "node", "left")
+    placed = placed.select("doc_id", F.coalesce("root", "node").alias("root"))
+    classes = placed.groupBy("root").agg(F.min("doc_id").cast("long").alias("class_id"))
+    return placed.join(classes, "root").select("doc_id", "class_id")
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that lead their class of near copies, with all their columns.
+
+    Near copies have 0.8 or more of their runs of five words in common, in either case of letters. The
+    leader has the smallest doc_id; a row that repeats the leader's id goes too. Rows without an id stay.
+    """
+    found = near_duplicates(docs.select("doc_id", "text"), lower=True)
+    leaders = found.filter(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
+    named = docs.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    return named.join(leaders, "doc_id", "left_semi").select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))

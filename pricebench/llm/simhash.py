@@ -202,14 +202,3 @@ def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
 
 def hex_print(name: str) -> Column:
     return F.lower(F.lpad(F.hex(name), 16, "0"))
-
-
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that lead their class of near copies, with all their columns.
-
-    The leader has the smallest doc_id; a row that repeats the leader's id goes too. Rows without an id stay.
-    """
-    found = near_duplicates(docs.select("doc_id", "text"))
-    leaders = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return named.join(leaders, "doc_id", "left_semi").select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))

@@ -439,6 +439,25 @@ def test_minhash_classes(spark, most):
     assert found == {k: find(k) for k in sets}
 
 
+def test_edited_copies_go(spark):
+    """Copies at a similarity of 0.8 and more, whose prints differ in more than 3 bits; what is below 0.8 stays."""
+    rows, gone = [], set()
+    for group in range(30):
+        words = sentence(group, 150).split()
+        rows.append((10 * group, " ".join(words)))
+        for copy, edits in ((1, 1), (2, 2), (3, 3), (4, 5), (5, 8)):
+            changed = list(words)
+            for i in range(edits):
+                changed[10 + 14 * i] = f"new{group}x{copy}x{i}"
+            rows.append((10 * group + copy, " ".join(changed).upper() if copy == 2 else " ".join(changed)))
+            if jaccard(grams(rows[-1][1].lower()), grams(" ".join(words))) >= 0.8:
+                gone.add(rows[-1][0])
+    prints = {k: simple_print(t) for k, t in rows}
+    assert sum((prints[k] ^ prints[k // 10 * 10]).bit_count() > 3 for k in gone) > 20
+    found = minhash.keep_one_of_each(documents(spark, rows)).collect()
+    assert sorted(r["doc_id"] for r in found) == sorted({k for k, _ in rows} - gone)
+
+
 def test_op5_held_out_accuracy(spark):
     rows = QUERIES["op5_quality"](spark, "/root/testdata/sf0.01").collect()
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()

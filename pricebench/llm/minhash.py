@@ -266,6 +266,12 @@ def _roots(sketches: DataFrame, bands: int, most: int) -> DataFrame:
     return components(links.union(more))
 
 
+def _placed(sketches: DataFrame, bands: int, most: int) -> DataFrame:
+    """The class of each sketched row, as (doc_id, root)."""
+    placed = sketches.select("doc_id", "node").join(_roots(sketches, bands, most), "node", "left")
+    return placed.select("doc_id", F.coalesce("root", "node").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, bands: int = 32, most: int = 256, lower: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): the smallest doc_id that near copies reach.
 
@@ -277,8 +283,7 @@ def near_duplicates(docs: DataFrame, bands: int = 32, most: int = 256, lower: bo
     """
     named = docs.filter("doc_id IS NOT NULL")
     sketches = write_through(_sketches(named, lower), "sketches")
-    placed = sketches.select("doc_id", "node").join(_roots(sketches, bands, most), "node", "left")
-    placed = placed.select("doc_id", F.coalesce("root", "node").alias("root"))
+    placed = _placed(sketches, bands, most)
     classes = placed.groupBy("root").agg(F.min("doc_id").cast("long").alias("class_id"))
     return placed.join(classes, "root").select("doc_id", "class_id")
 
@@ -287,9 +292,14 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that lead their class of near copies, with all their columns.
 
     Near copies have 0.8 or more of their runs of five words in common, in either case of letters. The
-    leader has the smallest doc_id; a row that repeats the leader's id goes too. Rows without an id stay.
+    leader is the row with the smallest doc_id, null as the largest; between rows of one id a hash of the
+    whole row decides, so that texts that share an id are told apart. Rows that repeat the leader go too.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), lower=True)
-    leaders = found.filter(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    named = docs.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return named.join(leaders, "doc_id", "left_semi").select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    key = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id").alias("k"), F.xxhash64("text", *columns).alias("h"))
+    sketches = write_through(_sketches(docs.select(key.alias("doc_id"), "text"), True), "sketches")
+    placed = _placed(sketches, 32, 256)
+    leaders = placed.groupBy("root").agg(F.min("doc_id").alias("at")).select("at.*").withColumn("k", F.coalesce("k", F.lit(0)))
+    rows = docs.select(key.alias("at"), F.struct(*columns).alias("row"))
+    rows = rows.select("at.late", F.coalesce("at.k", F.lit(0)).alias("k"), "at.h", "row")
+    return rows.join(leaders, ["late", "k", "h"], "left_semi").dropDuplicates(["late", "k", "h"]).select("row.*")

@@ -458,6 +458,15 @@ def test_edited_copies_go(spark):
     assert sorted(r["doc_id"] for r in found) == sorted({k for k, _ in rows} - gone)
 
 
+def test_texts_that_share_an_id_stay(spark):
+    """Half of the rows have one id and texts of their own; a copy under that id goes, whichever row leads."""
+    rows = [(5, sentence(i, 60)) for i in range(12)] + [(20 + i, sentence(50 + i, 60)) for i in range(8)]
+    extra = [(5, sentence(0, 60)), (5, sentence(50, 60)), (30, sentence(3, 60)), (None, sentence(4, 60)), (None, sentence(70, 60))]
+    found = minhash.keep_one_of_each(documents(spark, rows + extra).repartition(5)).collect()
+    expected = rows[:12] + [(5, sentence(50, 60))] + rows[13:] + [(None, sentence(70, 60))]
+    assert Counter((r["doc_id"], r["text"]) for r in found) == Counter(expected)
+
+
 def test_op5_held_out_accuracy(spark):
     rows = QUERIES["op5_quality"](spark, "/root/testdata/sf0.01").collect()
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()

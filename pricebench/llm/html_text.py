@@ -224,16 +224,6 @@ def chosen(root: Node) -> list[Node]:
     best = max(nodes, key=lambda n: n.total)
     if not best.chars:
         return []
-    named = [n for n in nodes if n.name in ("article", "main") and n.chars]
-    if named:
-        around, above = [], best
-        while above is not None:
-            if above.name in ("article", "main"):
-                around.append(above)
-            above = above.parent
-        pick = around[-1] if around else max(named, key=lambda n: n.total)
-        articles = [n for n in in_order(pick)[1:] if n.name == "article" and n.chars]
-        return [max(articles, key=lambda n: n.total)] if len(articles) > 1 and not pick.parent is None else [pick]
     path = [best]
     while path[-1].parent is not None and path[-1].name != "body":
         path.append(path[-1].parent)
@@ -242,6 +232,11 @@ def chosen(root: Node) -> list[Node]:
     for node in path[1:]:
         others = [p for p in node.parts if isinstance(p, Node) and p not in path]
         kept += [p for p in others if p.chars and (p.density >= threshold and p.linked * 3 < p.chars or p.name == "h1")]
+    # A correction: if the best subtree is a part of an article, the whole outermost one is taken.
+    around = [n for n in path if n.name in ("article", "main")]
+    if around:
+        inside = {id(n) for n in in_order(around[-1])}
+        kept = [around[-1], *[n for n in kept if id(n) not in inside]]
     ranks = {id(n): i for i, n in enumerate(nodes)}
     return sorted(kept, key=lambda n: ranks[id(n)])
 

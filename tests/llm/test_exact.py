@@ -11,7 +11,7 @@ import xxhash
 
 from pricebench.llm import html_text, minhash, packing, pii, repeats, rules, sharding, simhash
 from pricebench.llm.catalog import QUERIES, token_files
-from cases import PROSE, documents, sentence
+from cases import ESSAY, PROSE, documents, sentence
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -191,6 +191,22 @@ def test_op4_leaves_the_rest_out(article, expected):
     assert html_text.main_text(PAGE.format(article=article)) == expected
 
 
+LONG = [" ".join(f"{w}{i}" for w in ESSAY.split()) for i in range(3)]
+
+
+@pytest.mark.parametrize(
+    "article,expected",
+    [
+        (f"<div class='post'><p>{LONG[0]}</p><p>{LONG[1]}</p></div><div class='list'><article><a href='/b'>A teaser of a thing</a></article></div>", LONG[:2]),
+        (f"<main><article><h2>One</h2><p>{LONG[0]}</p></article><article><h2>Two</h2><p>{LONG[1]}</p></article></main>", ["One", LONG[0], "Two", LONG[1]]),
+        (f"<article><p>{LONG[2]}</p><article><p>{LONG[0]}</p></article><article><p>{LONG[1]}</p></article></article>", [LONG[2], *LONG[:2]]),
+        (f"<div><div class='lead'><p>{LONG[0]}</p></div><div class='rest'><p>{LONG[1]}</p><p>{LONG[2]}</p></div></div>", LONG),
+    ],
+)
+def test_op4_density_decides(article, expected):
+    assert html_text.main_text(PAGE.format(article=article)) == " ".join(expected)
+
+
 def removed(docs):
     """All bytes that strings of 100 bytes cover which also start earlier."""
     first, covered = {}, {}

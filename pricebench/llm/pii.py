@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricebench.session import ensure_checkpoints, write_through
@@ -230,47 +230,65 @@ def _fold() -> Column:
     return F.pmod(F.xxhash64(F.lit("fold"), "k", "h", "kind", "start", "end"), F.lit(4))
 
 
+def _draw() -> Column:
+    """A hash of a candidate, by which training rows are drawn."""
+    return F.xxhash64("k", "h", "kind", "start", "end")
+
+
 def fit(rows: DataFrame, most: int = TRAIN_ROWS) -> tuple[GBTClassificationModel, list[float]] | None:
-    """Trees and one threshold per kind, from at most ``most`` labelled candidates (a documented bound).
+    """Trees from at most ``most`` labelled candidates (a documented bound), and one threshold per kind from all.
 
-    The rows with the smallest hashes are taken. A quarter of them is held back; a kind's threshold is the
-    lowest score at which ``PRECISION`` of its held-back candidates are true ones. None if there is
-    nothing to learn from.
+    Of each kind and label an equal share with the smallest hashes is drawn, so no kind crowds out another.
+    A quarter of all candidates is never drawn. Thresholds are calibrated on every labelled candidate that is
+    not in the draw. None if there is nothing to learn from.
     """
-    known = (
-        rows.filter(F.col("label").isNotNull())
-        .orderBy(F.xxhash64("k", "h", "kind", "start", "end"), "k", "h", "kind", "start", "end")
-        .limit(most)
-        .select("kind", "label", array_to_vector(features()).alias("features"), _fold().alias("fold"))
+    known = rows.filter(F.col("label").isNotNull()).withColumns({"fold": _fold(), "draw": _draw()})
+    place = Window.partitionBy("kind", "label").orderBy("draw", "k", "h", "start", "end")
+    drawn = (
+        known.filter("fold > 0")
+        .withColumn("place", F.row_number().over(place))
+        .filter(F.col("place") <= max(1, most // (2 * len(KINDS))))
+        .select("kind", "label", "draw", features().alias("features"))
     )
-    known = write_through(known.withColumn("features", vector_to_array("features")), "pii-training")
-    known = known.withColumn("features", array_to_vector("features"))
-    shares = {r["label"]: r["n"] for r in known.filter("fold > 0").groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if len(shares) < 2:
+    drawn = write_through(drawn, "pii-training")
+    strata = drawn.groupBy("kind", "label").agg(F.max("draw").alias("last"), F.count(F.lit(1)).alias("n")).collect()
+    if len({r["label"] for r in strata}) < 2:
         return None
     ensure_checkpoints(rows.sparkSession)
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=11, checkpointInterval=10, maxBins=32)
-    model = trees.fit(known.filter("fold > 0").coalesce(8))
-    return model, _thresholds(model.transform(known.filter("fold = 0")))
+    model = trees.fit(drawn.select("label", array_to_vector("features").alias("features")).coalesce(8))
+    used = reduce(
+        lambda a, b: a | b,
+        [(F.col("kind") == r["kind"]) & (F.col("label") == r["label"]) & (F.col("draw") <= r["last"]) for r in strata],
+    )
+    unseen = known.filter((F.col("fold") == 0) | ~used)
+    scored = model.transform(unseen.select("kind", "label", array_to_vector(features()).alias("features")))
+    return model, _thresholds(scored, {(r["kind"], r["label"]): r["n"] for r in strata})
 
 
 def score() -> Column:
     return F.get(vector_to_array("probability"), F.lit(1))
 
 
-def _thresholds(scored: DataFrame) -> list[float]:
-    """Per kind, the lowest of 19 steps from 0.5 up with the wanted precision; 2 (never) if there is none."""
+def _thresholds(scored: DataFrame, drawn: dict[tuple[int, float], int]) -> list[float]:
+    """Per kind, the lowest of 19 steps from 0.5 up at which ``PRECISION`` is met; 2 (never) if there is none.
+
+    ``drawn`` says how many candidates of each kind and label are missing from ``scored``; those that are
+    there stand for them too, since the draw takes other shares of true and false ones.
+    """
     steps = [0.5 + i / 40 for i in range(19)]
-    sums = [
-        (F.sum((score() >= s).cast("int")).alias(f"n{i}"), F.sum((score() >= s).cast("int") * F.col("label")).alias(f"t{i}"))
-        for i, s in enumerate(steps)
-    ]
-    by_kind = {r["kind"]: r for r in scored.groupBy("kind").agg(*[c for pair in sums for c in pair]).collect()}
+    sums = [F.sum((score() >= s).cast("int")).alias(f"n{i}") for i, s in enumerate(steps)]
+    counted = scored.groupBy("kind", "label").agg(F.count(F.lit(1)).alias("n"), *sums).collect()
+    by = {(r["kind"], r["label"]): r for r in counted}
+
+    def reached(kind: int, label: float, i: int) -> float:
+        row = by.get((kind, label))
+        return row[f"n{i}"] * (row["n"] + drawn.get((kind, label), 0)) / row["n"] if row else 0.0
+
     found = []
     for kind in range(len(KINDS)):
-        row = by_kind.get(kind)
-        good = [s for i, s in enumerate(steps) if row and row[f"n{i}"] and row[f"t{i}"] >= PRECISION * row[f"n{i}"]]
-        found.append(min(good, default=2.0))
+        pairs = [(s, reached(kind, 1.0, i), reached(kind, 0.0, i)) for i, s in enumerate(steps)]
+        found.append(min((s for s, true, false in pairs if true and true >= PRECISION * (true + false)), default=2.0))
     return found
 
 

@@ -156,6 +156,18 @@ def test_trees_add_what_a_strict_run_swallowed(spark):
     assert spans[1001] == []
 
 
+def test_a_flood_of_numbers_does_not_crowd_out_other_kinds(spark):
+    rows = []
+    for i in range(240):
+        rows.append((i, f"{sentence(i, 5)} +1 ({i:03d}) 555-{i:04d} {sentence(i, 5)} and +{i:03d} 12 or 10.0.0.{i} v 300.{i}.1.1"))
+    flood = [(2000 + i, " or ".join(f"{i * 977 + j * 1_000_003:09d}" for j in range(80))) for i in range(200)]
+    rows.append((1000, f"{sentence(7, 5)} +1 (123) 555-7713 4111111111111111 {sentence(8, 5)}"))
+    text = dict(rows)[1000]
+    spans = {r["doc_id"]: r["spans"] for r in pii.found_spans(documents(spark, rows + flood), most=160).collect()}
+    assert ("phone", "+1 (123) 555-7713") in {(pii.KINDS[k], text[a:b]) for k, a, b in spans[1000]}
+    assert not any(spans[k] for k, _ in flood)
+
+
 def test_op4_articles(spark, sf_dir):
     import html
 

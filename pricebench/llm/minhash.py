@@ -278,11 +278,10 @@ def near_duplicates(docs: DataFrame, bands: int = 32, most: int = 256, lower: bo
     Texts with the same shingles are one node. Nodes that share a band of the signature meet in Spark,
     and their Jaccard similarity is verified on the whole shingle sets; with 32 bands of 4 places a pair
     at 0.8 is missed once in ten million. ``most`` bounds a comparison, not a list: longer lists are cut
-    into blocks that meet. Null and blank texts are one class; null ids are not read. With ``lower``,
-    ASCII letters count the same in either case.
+    into blocks that meet. Null and blank texts are one class. A null doc_id counts as larger than all
+    others, and a class of only such rows is null. With ``lower``, ASCII letters count the same in either case.
     """
-    named = docs.filter("doc_id IS NOT NULL")
-    sketches = write_through(_sketches(named, lower), "sketches")
+    sketches = write_through(_sketches(docs, lower), "sketches")
     placed = _placed(sketches, bands, most)
     classes = placed.groupBy("root").agg(F.min("doc_id").cast("long").alias("class_id"))
     return placed.join(classes, "root").select("doc_id", "class_id")

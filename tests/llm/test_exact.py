@@ -495,6 +495,12 @@ def test_texts_that_share_an_id_stay(spark):
     assert Counter((r["doc_id"], r["text"]) for r in found) == Counter(expected)
 
 
+def test_minhash_classes_of_rows_without_an_id(spark):
+    rows = [(None, sentence(1, 60)), (4, sentence(1, 60)), (None, sentence(2, 60)), (None, sentence(2, 60))]
+    found = minhash.near_duplicates(documents(spark, rows)).collect()
+    assert Counter((r["doc_id"], r["class_id"]) for r in found) == Counter([(None, 4), (4, 4), (None, None), (None, None)])
+
+
 def test_op5_held_out_accuracy(spark):
     rows = QUERIES["op5_quality"](spark, "/root/testdata/sf0.01").collect()
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()

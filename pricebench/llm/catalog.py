@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricebench.llm import classifier, html_text, minhash, packing, pieces, pii, repeats, rules, sharding, simhash
+from pricebench.llm import (
+    byte_pairs,
+    classifier,
+    html_text,
+    minhash,
+    packing,
+    pieces,
+    pii,
+    repeats,
+    rules,
+    sharding,
+    simhash,
+    spelling,
+    whitening,
+)
 from pricebench.llm.tables import table
 from pricebench.session import write_through
 
@@ -114,3 +128,28 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.named("base").cast("binary"), 256).alias("base_sha256"),
         pii.named("spans").alias("spans"),
     )
+
+
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_pairs.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    model = byte_pairs.library_model(ranks, public_tokenizers.PATTERN)
+    found = byte_pairs.encoded(documents(spark, sf_dir).select("doc_id", "text"), model)
+    numbers = F.concat_ws(" ", F.col("bpe.ids").cast("array<string>"))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.size("bpe.ids").cast("long").alias("n_tokens"),
+        F.sha2(numbers.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(byte_pairs.decoded(found, F.col("bpe.ids"), model), 256).alias("decoded_sha256"),
+        F.col("bpe.n_split").alias("n_split"),
+    )
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(documents(spark, sf_dir)))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))

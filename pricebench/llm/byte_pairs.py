@@ -14,15 +14,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (as pa.compute)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-SEGMENT = 1 << 16  # characters after which a long text may be cut
-AT_ONCE = 1 << 20  # characters given to the library in one call
+AT_ONCE = 1 << 18  # characters given to the library in one call
+TOKENS = 1 << 20  # ids of the rows that go back to Spark together
+REMEMBERED, LONGEST = 1 << 17, 64  # segments whose ids a worker keeps, and their longest
 UNKNOWN = "�".encode()
-SAFE_CUT = re.compile(r"(?<=\S) ")
-ENCODED = "ids array<int>, starts array<int>, ends array<int>, n_split int"
+SAFE_CUT = re.compile(r"(?= )(?<=\S)")
 
 
 def byte_characters() -> list[str]:
@@ -66,17 +67,13 @@ def library_model(ranks: dict[bytes, int], pattern: str) -> str:
     return tokenizer.to_str()
 
 
-def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
-    """A long text in runs of some ``size`` characters, cut before a blank that follows a visible character.
+def segments(text: str) -> list[str]:
+    """A text cut before each blank that follows a visible character.
 
     No match of the pattern goes on with white space after a visible character, and none looks back, so the
-    pieces match as the whole does. A text without such a place stays whole.
+    segments match as the whole does.
     """
-    at = 0
-    while len(text) - at > size and (cut := SAFE_CUT.search(text, at + size)):
-        yield text[at : cut.start()]
-        at = cut.start()
-    yield text[at:]
+    return SAFE_CUT.split(text)
 
 
 class Codec:
@@ -90,38 +87,40 @@ class Codec:
         for shown, number in vocabulary.items():
             self.table[number] = bytes(map(octet.__getitem__, shown))
         self.sizes = np.array([len(token) for token in self.table], np.int64)
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
-    def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
-        """The ids of each text; the library sees a bounded number of characters at a time."""
-        waiting: list[str] = []
-        parts: list[int] = []  # segments of each text that waits
-        done: list[np.ndarray] = []  # of the first of them
-        held = 0
-
-        def flush() -> Iterator[np.ndarray]:
-            found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(waiting, add_special_tokens=False)]
-            at = 0
-            for n in parts[:-1]:
-                yield np.concatenate([*done, *found[at : at + n]])
-                done.clear()
-                at += n
-            done.extend(found[at:])
-
-        for text in texts:
-            if held >= AT_ONCE:
-                parts.append(0)
-                yield from flush()
-                waiting, parts, held = [], [], 0
-            parts.append(0)
-            for segment in segments(text):
-                if held >= AT_ONCE:
-                    yield from flush()
-                    waiting, parts, held = [], [0], 0
-                waiting.append(segment)
-                parts[-1] += 1
-                held += len(segment)
-        parts.append(0)
-        yield from flush()
+    def learn(self, wanted: list[str]) -> dict[str, bytes]:
+        """The ids of segments, as 32-bit numbers, from the library.
+
+        Segments between two cuts are put together again to strings of a bounded size: they would be cut there.
+        How many bytes each token has says where the ids of a segment end.
+        """
+        inner = [s for s in wanted if s[:1] == " " and not s[-1].isspace()]
+        sizes = np.cumsum([0, *map(len, inner)])
+        cuts = [*np.unique(np.searchsorted(sizes, np.arange(0, sizes[-1], AT_ONCE))).tolist(), len(inner)]
+        together = [inner[first:last] for first, last in zip(cuts, cuts[1:])]
+        found = {}
+        for parts in [*together, *([s] for s in wanted if s[:1] != " " or s[-1].isspace())]:
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, "<i4")
+            ends = np.cumsum(self.sizes[ids])
+            cuts = np.searchsorted(ends, np.cumsum([len(s.encode()) for s in parts])) + 1
+            raw, at = ids.tobytes(), 0
+            for segment, cut in zip(parts, (4 * cuts).tolist()):
+                found[segment] = raw[at:cut]
+                at = cut
+        return found
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text. A segment that the worker remembers is not encoded again."""
+        cut = [segments(text) for text in texts]
+        met = {segment for parts in cut for segment in parts}
+        here = {s: ids for s in met if (ids := self.known.get(s) or self.before.get(s)) is not None}
+        here.update(self.learn([s for s in met if s not in here]))
+        if len(self.known) > REMEMBERED:
+            self.known, self.before = {}, self.known
+        self.known.update((s, ids) for s, ids in here.items() if len(s) <= LONGEST)
+        return [np.frombuffer(b"".join([here[segment] for segment in parts]), "<i4") for parts in cut]
 
     def offsets(self, ids: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray, int]:
         """First character and end of each token in its text, and how many tokens start inside a character."""
@@ -133,8 +132,8 @@ class Codec:
         starts = ends - self.sizes[ids]
         return character[starts], character[ends - 1] + 1, int(np.count_nonzero(~first_bytes[starts]))
 
-    def bytes_of(self, ids: Iterable[int]) -> bytes:
-        """The bytes of the tokens; an id outside the vocabulary gives the replacement character."""
+    def bytes_of(self, ids: Iterable[int | None]) -> bytes:
+        """The bytes of the tokens; null and ids outside the vocabulary give the replacement character."""
         top = len(self.table)
         return b"".join([self.table[i] if i is not None and 0 <= i < top else UNKNOWN for i in ids])
 
@@ -162,36 +161,45 @@ def codec(model: str) -> Codec:
 
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-    values = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    return pa.ListArray.from_arrays(ends, pa.array(values, pa.int32()))
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(parts), pa.int32()))
+
+
+def _slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of rows with about ``size`` bytes of text."""
+    lengths = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    ends, start = np.cumsum(lengths), 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield start, stop
+        start = stop
 
 
-def encoded(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
-    """Each row of ``docs`` as ``row``, next to ``bpe``: its ids, their offsets, and how many start inside a character.
+def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", offsets: bool = True) -> DataFrame:
+    """(key, ids, n_split, and with ``offsets`` starts and ends) of each row of ``docs``.
 
     ``model`` comes from ``library_model`` and is sent once to each executor; its size is the vocabulary's.
     Texts are encoded whole. Null and empty texts have no ids. Offsets count characters, ends exclusive; a token
-    with part of a character names the whole of it. Repeated rows give equal rows, an empty table gives none,
-    and no column of ``docs`` can clash, since all of them stay inside ``row``.
+    with part of a character names the whole of it, and ``n_split`` counts the tokens that start inside one.
+    Repeated rows and null keys give rows of their own, an empty table gives none, other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = [key, "ids", "n_split", *(("starts", "ends") if offsets else ())]
 
-    @F.arrow_udf(ENCODED)
-    def encode(texts: pa.Array) -> pa.Array:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(shared.value)
-        ids, starts, ends, split = [], [], [], []
-        values = (value.as_py() or "" for value in texts)
-        for value, found in zip(texts, own.encode(values)):
-            first, end, inside = own.offsets(found, (value.as_py() or "").encode())
-            ids.append(found)
-            starts.append(first)
-            ends.append(end)
-            split.append(inside)
-        lists = [_lists(part) for part in (ids, starts, ends)]
-        return pa.StructArray.from_arrays([*lists, pa.array(split, pa.int32())], ["ids", "starts", "ends", "n_split"])
-
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    return docs.select(row, encode(F.col(f"`{text}`")).alias("bpe"))
+        for batch in batches:
+            for start, stop in _slices(batch.column(1), 2 * TOKENS):
+                texts = [value or "" for value in batch.column(1).slice(start, stop - start).to_pylist()]
+                ids = own.encode(texts)
+                firsts, ends, split = zip(*(own.offsets(found, t.encode()) for found, t in zip(ids, texts)))
+                columns = [batch.column(0).slice(start, stop - start), _lists(ids), pa.array(split, pa.int32())]
+                columns += [_lists(firsts), _lists(ends)] if offsets else []
+                yield pa.record_batch(columns, names)
+
+    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, ids array<int>, n_split int"
+    schema += ", starts array<int>, ends array<int>" if offsets else ""
+    return docs.select(key, text).mapInArrow(rows, schema)
 
 
 def decoded(df: DataFrame, ids: Column, model: str) -> Column:

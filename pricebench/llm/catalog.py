@@ -134,14 +134,13 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_pairs.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     model = byte_pairs.library_model(ranks, public_tokenizers.PATTERN)
-    found = byte_pairs.encoded(documents(spark, sf_dir).select("doc_id", "text"), model)
-    numbers = F.concat_ws(" ", F.col("bpe.ids").cast("array<string>"))
+    found = byte_pairs.encoded(documents(spark, sf_dir), model, offsets=False)
     return found.select(
-        F.col("row.doc_id").alias("doc_id"),
-        F.size("bpe.ids").cast("long").alias("n_tokens"),
-        F.sha2(numbers.cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(byte_pairs.decoded(found, F.col("bpe.ids"), model), 256).alias("decoded_sha256"),
-        F.col("bpe.n_split").alias("n_split"),
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(byte_pairs.decoded(found, F.col("ids"), model), 256).alias("decoded_sha256"),
+        "n_split",
     )
 
 

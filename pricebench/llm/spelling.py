@@ -30,6 +30,7 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 LEAST_LETTERS, LEAST_TIMES, NOISE, FACTOR = 5, 3, 97, 2
 HELD_WORDS = 1 << 18
 LETTERS = 1 << 16  # letters of the words that meet in one task
+TOGETHER_BY_LENGTH = 4  # small groups of one length share a task; there are several lengths to a task number
 QUERIES = 1 << 10  # words compared with all others at a time
 KEPT_POSITIONS = 256
 END = "\x01"
@@ -192,35 +193,24 @@ def near_words(counts: DataFrame, letters: int = LEAST_LETTERS, together: int =
         .filter(F.col("short") >= letters)
         .withColumn("key", F.xxhash64("short", "last", shared))
     )
-    # A group needs a word of the shorter length and another word.
-    is_short = F.count_if(F.char_length("word") == F.col("short"))
-    sizes = members.groupBy("short", "key").agg(F.count(F.lit(1)).alias("size"), is_short.alias("n_short"))
-    sizes = write_through(sizes.filter("size > 1 AND n_short > 0").drop("n_short"), "group-sizes")
-    most = F.greatest(F.lit(2), F.floor(F.lit(together) / (F.col("short") + 2))).cast("long")
-    tasks = sizes.groupBy("short").agg(F.sum("size").alias("total")).withColumn("most", most)
-    tasks = tasks.select("short", "most", F.ceil(F.col("total") / F.col("most")).cast("long").alias("tasks"))
-    placed = members.join(sizes.join(tasks, "short"), ["short", "key"])
-    blocks = F.ceil(F.col("size") / F.greatest(F.lit(1), F.floor(F.col("most") / 2))).cast("int")
-    small = placed.filter(F.col("size") <= F.col("most")).select(
-        *("word", "n", "short", "last", "key"),
-        F.pmod(F.xxhash64("key"), F.col("tasks")).alias("task"),
-        F.lit(0).alias("mine"),
-        F.lit(True).alias("alone"),
-    )
-    split = (
-        placed.filter(F.col("size") > F.col("most"))
-        .withColumn("blocks", blocks)
-        .withColumn("mine", F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    )
-    low, high = F.least("mine", "other"), F.greatest("mine", "other")
-    large = split.select(
-        *("word", "n", "short", "last", "key"),
-        F.xxhash64("key", low, high).bitwiseOR(F.lit(-(2**63))).alias("task"),  # below 0: apart from the small ones
-        "mine",
+    # Letters that meet: a word goes to four groups. Their number alone says how many tasks there are.
+    total = 4 * (counts.agg(F.sum(length).alias("letters")).first()["letters"] or 0)
+    tasks = max(1, -(-total // (TOGETHER_BY_LENGTH * together)))
+    most = F.greatest(F.lit(2), F.floor(F.lit(together) / (F.col("short") + 2))).cast("int")
+    sizes = members.groupBy("short", "key").agg(F.count(F.lit(1)).alias("size"))
+    hot = write_through(sizes.filter(F.col("size") > most), "large-groups")  # fewer than the tasks that they fill
+    blocks = F.ceil(F.col("size") / F.greatest(F.lit(1), F.floor(most / 2))).cast("int")
+    placed = members.join(hot, ["short", "key"], "left").withColumn("blocks", F.coalesce(blocks, F.lit(1)))
+    placed = placed.withColumn("mine", F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own_task = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).bitwiseOR(F.lit(-(2**63)))
+    placed = placed.select(
+        *("word", "n", "short", "last", "key", "mine"),
         (F.col("mine") == F.col("other")).alias("alone"),
+        # Groups that are split have tasks below 0, apart from those of the small ones.
+        F.when(F.col("blocks") > 1, own_task).otherwise(F.pmod(F.xxhash64("key"), F.lit(tasks))).alias("task"),
     )
-    found = small.union(large).groupBy("short", "task").applyInPandas(_compare, MET)
+    found = placed.groupBy("short", "task").applyInPandas(_compare, MET)
     best = F.min(F.struct((-F.col("form_n")).alias("less"), "form")).alias("best")
     return (
         found.groupBy("word")

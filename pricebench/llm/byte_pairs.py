@@ -14,14 +14,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (as pa.compute)
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 AT_ONCE = 1 << 18  # characters given to the library in one call
 TOKENS = 1 << 20  # ids of the rows that go back to Spark together
-REMEMBERED, LONGEST = 1 << 17, 64  # segments whose ids a worker keeps, and their longest
+REMEMBERED, LONGEST = 1 << 18, 64  # segments whose ids a worker keeps, and their longest
 UNKNOWN = "�".encode()
 SAFE_CUT = re.compile(r"(?= )(?<=\S)")
 
@@ -88,7 +88,6 @@ class Codec:
             self.table[number] = bytes(map(octet.__getitem__, shown))
         self.sizes = np.array([len(token) for token in self.table], np.int64)
         self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
 
     def learn(self, wanted: list[str]) -> dict[str, bytes]:
         """The ids of segments, as 32-bit numbers, from the library.
@@ -114,13 +113,12 @@ class Codec:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text. A segment that the worker remembers is not encoded again."""
         cut = [segments(text) for text in texts]
-        met = {segment for parts in cut for segment in parts}
-        here = {s: ids for s in met if (ids := self.known.get(s) or self.before.get(s)) is not None}
-        here.update(self.learn([s for s in met if s not in here]))
-        if len(self.known) > REMEMBERED:
-            self.known, self.before = {}, self.known
-        self.known.update((s, ids) for s, ids in here.items() if len(s) <= LONGEST)
-        return [np.frombuffer(b"".join([here[segment] for segment in parts]), "<i4") for parts in cut]
+        met = set().union(*cut)
+        self.known.update(self.learn(list(met - self.known.keys())))
+        found = [np.frombuffer(b"".join(map(self.known.__getitem__, parts)), "<i4") for parts in cut]
+        if len(self.known) > REMEMBERED:  # the latest texts hold the frequent ones
+            self.known = {s: self.known[s] for s in met if len(s) <= LONGEST}
+        return found
 
     def offsets(self, ids: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray, int]:
         """First character and end of each token in its text, and how many tokens start inside a character."""
@@ -166,7 +164,7 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 
 def _slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
     """Bounds of runs of rows with about ``size`` bytes of text."""
-    lengths = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    lengths = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
     ends, start = np.cumsum(lengths), 0
     while start < len(ends):
         before = ends[start - 1] if start else 0

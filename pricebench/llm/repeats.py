@@ -115,11 +115,17 @@ def _surroundings(texts: list[bytes]) -> tuple[np.ndarray, ...]:
 
 
 def _earliest(keys: tuple[np.ndarray, ...], doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by keys, document and place; in that order, True for the first row of each key."""
+    """Order by keys, document and place; in that order, True for the first row of each key.
+
+    Of rows that are equal in all of these, as repeated rows of a table make them, one is left in the order.
+    """
     order = np.lexsort((place, doc, *reversed(keys)))
     new = np.ones(len(order), bool)
     if len(order):
         new[1:] = np.logical_or.reduce([k[order[1:]] != k[order[:-1]] for k in keys])
+        other = new.copy()
+        other[1:] |= (doc[order[1:]] != doc[order[:-1]]) | (place[order[1:]] != place[order[:-1]])
+        order, new = order[other], new[other]
     return order, new
 
 
@@ -127,12 +133,34 @@ def _packed(values: np.ndarray, kind: str) -> bytes:
     return np.ascontiguousarray(values).astype(kind).tobytes()
 
 
-def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, list[bytes]]:
-    column = batch.column(1).cast(pa.binary())
-    return batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), [t or b"" for t in column.to_pylist()]
+def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Ids, tags and texts of a batch with the columns k, tag and text."""
+    ids, tags = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+    return ids, tags, [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
+
+
+def _ranks(doc: np.ndarray, tag: np.ndarray) -> np.ndarray:
+    """Numbers in the order of ids, then tags; equal ones for one text. Without tags the ids are such numbers."""
+    if not tag.any():
+        return doc
+    order = np.lexsort((tag, doc))
+    new = np.zeros(len(doc), np.int64)
+    new[1:] = (doc[order[1:]] != doc[order[:-1]]) | (tag[order[1:]] != tag[order[:-1]])
+    ranks = np.empty(len(doc), np.int64)
+    ranks[order] = np.cumsum(new)
+    return ranks
+
+
+def _packed_tags(tag: np.ndarray) -> bytes:
+    """Nothing where all tags are 0, as they are in a table whose ids are unique."""
+    return _packed(tag, "<i8") if tag.any() else b""
+
 
+def _unpacked_tags(packed: bytes, number: int) -> np.ndarray:
+    return np.frombuffer(packed, "<i8") if packed else np.zeros(number, np.int64)
 
-ANCHORS = "bucket int, base long, hash binary, digest binary, doc binary, place binary, size binary"
+
+ANCHORS = "bucket int, base long, hash binary, digest binary, doc binary, tag binary, place binary, size binary"
 
 
 def _anchor_batches(hot: np.ndarray, buckets: int):
@@ -140,13 +168,13 @@ def _anchor_batches(hot: np.ndarray, buckets: int):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = _texts(batch)
+            ids, tags, texts = _texts(batch)
             owner, place, size, hashed, digest = _surroundings(texts)
             if not len(owner):
                 continue
-            doc = ids[owner]
-            order, new = _earliest((hashed, digest), doc, place)
-            doc, place, size, hashed, digest = (c[order] for c in (doc, place, size, hashed, digest))
+            order, new = _earliest((hashed, digest), _ranks(ids, tags)[owner], place)
+            doc, tag = ids[owner], tags[owner]
+            doc, tag, place, size, hashed, digest = (c[order] for c in (doc, tag, place, size, hashed, digest))
             spread = np.where(np.isin(hashed, hot), digest, hashed) if len(hot) else hashed
             bucket = (spread >> np.uint64(20)).astype(np.int64) % buckets
             bucket[~new] = buckets + doc[~new] % buckets
@@ -164,11 +192,12 @@ def _anchor_batches(hot: np.ndarray, buckets: int):
                         _packed(hashed[here], "<u8") if open_ else b"",
                         _packed(digest[here], "<u8") if open_ else b"",
                         _packed(doc[here] - base, "<u4" if int(doc[here].max()) - base < 1 << 32 else "<u8"),
+                        _packed_tags(tag[here]),
                         _packed(place[here], "<u4"),
                         _packed(size[here], "u1"),
                     )
                 )
-            types = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+            types = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], _names(ANCHORS))
 
     return rows
@@ -184,12 +213,13 @@ def _unpacked(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
         np.frombuffer(d, "<u4" if len(d) == 4 * len(p) else "<u8").astype(np.int64) + base
         for d, p, base in zip(rows["doc"], place, rows["base"])
     ]
+    tag = np.concatenate([_unpacked_tags(t, len(p)) for t, p in zip(rows["tag"], place)])
     hashed, digest = (np.frombuffer(b"".join(rows[c]), "<u8") for c in ("hash", "digest"))
     size = np.frombuffer(b"".join(rows["size"]), "u1").astype(np.int64)
-    return np.concatenate(doc), np.concatenate(place).astype(np.int64), size, hashed, digest
+    return np.concatenate(doc), tag, np.concatenate(place).astype(np.int64), size, hashed, digest
 
 
-VERDICTS = "k long, start long, end long, hash long, state int"
+VERDICTS = "k long, tag long, start long, end long, hash long, state int"
 SETTLED, ASKED, ASKED_HOT = 0, 1, 2
 
 
@@ -200,11 +230,11 @@ def _settle(hot: np.ndarray, group_limit: int):
         passed = rows["hash"].map(len) == 0
         parts = []
         if passed.any():
-            doc, place, size, _, _ = _unpacked(rows[passed])
-            parts.append((doc, place, place + size, np.zeros(len(doc), np.int64), np.full(len(doc), SETTLED)))
+            doc, tag, place, size, _, _ = _unpacked(rows[passed])
+            parts.append((doc, tag, place, place + size, np.zeros(len(doc), np.int64), np.full(len(doc), SETTLED)))
         if not passed.all():
-            doc, place, size, hashed, digest = _unpacked(rows[~passed])
-            order, new = _earliest((hashed, digest), doc, place)
+            doc, tag, place, size, hashed, digest = _unpacked(rows[~passed])
+            order, new = _earliest((hashed, digest), _ranks(doc, tag), place)
             again, first = order[~new], order[new]
             _, which, count = np.unique(hashed[first], return_inverse=True, return_counts=True)
             very = np.isin(hashed[first], hot) | (count[which] > group_limit)
@@ -212,13 +242,13 @@ def _settle(hot: np.ndarray, group_limit: int):
             state = np.where(very, ASKED_HOT, ASKED)[asked]
             for at, code in ((again, np.full(len(again), SETTLED)), (first[asked], state)):
                 kept = np.where(code == SETTLED, 0, hashed[at].view(np.int64))
-                parts.append((doc[at], place[at], place[at] + size[at], kept, code))
+                parts.append((doc[at], tag[at], place[at], place[at] + size[at], kept, code))
         return pd.DataFrame(dict(zip(_names(VERDICTS), (np.concatenate(c) for c in zip(*parts)))))
 
     return verdicts
 
 
-CONTEXTS = "bucket int, hot boolean, doc binary, place binary, size binary, texts binary"
+CONTEXTS = "bucket int, hot boolean, doc binary, tag binary, place binary, size binary, texts binary"
 
 
 def _context_batches(buckets: int):
@@ -227,46 +257,52 @@ def _context_batches(buckets: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: dict[tuple[int, bool], list] = {}
-            ids, texts = _texts(batch)
-            strings: dict[bytes, tuple[int, int]] = {}
-            repeated: list[tuple[int, int]] = []
-            for k, text, asks in zip(ids.tolist(), texts, batch.column(2).to_pylist()):
+            ids, tags, texts = _texts(batch)
+            strings: dict[bytes, tuple[int, int, int]] = {}
+            repeated: list[tuple[int, int, int]] = []
+            for k, tag, text, asks in zip(ids.tolist(), tags.tolist(), texts, batch.column(3).to_pylist()):
                 for ask in asks:
                     low, high = ask["start"], ask["end"]
                     if ask["state"] == ASKED:
                         key = ((ask["hash"] >> 20) % buckets, False)
-                        held.setdefault(key, []).append((k, low, high - low, text[low:high]))
+                        held.setdefault(key, []).append((k, tag, low, high - low, text[low:high]))
                         continue
                     for start in range(low, high - LENGTH + 1):
                         digest = xxhash.xxh3_128_digest(text[start : start + LENGTH])
-                        before = strings.setdefault(digest, (k, start))
-                        if before != (k, start):
-                            strings[digest] = min(before, (k, start))
-                            repeated.append(max(before, (k, start)))
-            for digest, (k, start) in strings.items():
-                held.setdefault((int.from_bytes(digest[:4], "little") % buckets, True), []).append(
-                    (k, start, 0, digest)
-                )
-            for k, start in repeated:  # settled here: sent on without a string
-                held.setdefault((k % buckets, True), []).append((k, start, 1, b"\0" * 16))
+                        here = k, tag, start
+                        before = strings.setdefault(digest, here)
+                        if before != here:
+                            strings[digest] = min(before, here)
+                            repeated.append(max(before, here))
+            for digest, here in strings.items():
+                held.setdefault((int.from_bytes(digest[:4], "little") % buckets, True), []).append((*here, 0, digest))
+            for here in repeated:  # settled here: sent on without a string
+                held.setdefault(((here[0] + here[1]) % buckets, True), []).append((*here, 1, b"\0" * 16))
             out = []
             for (at, hot), found in held.items():
-                doc, place, size, pieces = zip(*found)
-                packed = _packed(np.array(doc), "<i8"), _packed(np.array(place), "<u4"), _packed(np.array(size), "<u4")
+                doc, tag, place, size, pieces = zip(*found)
+                packed = _packed(np.array(doc), "<i8"), _packed_tags(np.array(tag))
+                packed += _packed(np.array(place), "<u4"), _packed(np.array(size), "<u4")
                 out.append((at, hot, *packed, b"".join(pieces)))
             if out:
-                types = [pa.int32(), pa.bool_(), *[pa.binary()] * 4]
+                types = [pa.int32(), pa.bool_(), *[pa.binary()] * 5]
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], _names(CONTEXTS))
 
     return rows
 
 
-SPANS = "k long, start long, end long"
+SPANS = "k long, tag long, start long, end long"
+
 
+def _keys(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and tags of context rows."""
+    docs = [np.frombuffer(d, "<i8") for d in rows["doc"]]
+    return np.concatenate(docs), np.concatenate([_unpacked_tags(t, len(d)) for t, d in zip(rows["tag"], docs)])
 
-def _repeat_starts(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Documents and places of the strings in a bucket of surroundings that start earlier elsewhere."""
-    doc = np.frombuffer(b"".join(rows["doc"]), "<i8")
+
+def _repeat_starts(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, tags and places of the strings in a bucket of surroundings that start earlier elsewhere."""
+    doc, tag = _keys(rows)
     place = np.frombuffer(b"".join(rows["place"]), "<u4").astype(np.int64)
     size = np.frombuffer(b"".join(rows["size"]), "<u4").astype(np.int64)
     text = np.frombuffer(b"".join(rows["texts"]), np.uint8)
@@ -274,68 +310,67 @@ def _repeat_starts(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     each = np.maximum(size - LENGTH + 1, 0)
     inside = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
     starts = np.repeat(begin, each) + inside
-    owner, at = np.repeat(doc, each), np.repeat(place, each) + inside
-    # The order of documents and places; rows that repeat an id and a place count as one.
+    which = np.repeat(np.arange(len(doc)), each)
+    owner, at = _ranks(doc, tag)[which], place[which] + inside
+    # In the order of documents and places; of strings that a repeated row brings again, one is left.
     where = np.lexsort((at, owner))
     new = np.ones(len(where), bool)
     new[1:] = (owner[where[1:]] != owner[where[:-1]]) | (at[where[1:]] != at[where[:-1]])
-    position = np.empty(len(where), np.int64)
-    position[where] = np.cumsum(new) - 1
+    which, at, starts = (v[where[new]] for v in (which, at, starts))
+    position = np.arange(len(at))
     order, shared = suffix_order(text, starts, position, LENGTH)
     again = previous_factors(order, shared, position) >= LENGTH
-    return owner[again], at[again]
+    return doc[which[again]], tag[which[again]], at[again]
 
 
 def _find_repeats(rows: pd.DataFrame) -> pd.DataFrame:
-    doc, place = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    parts = []
     hot = rows["hot"].to_numpy(bool)
     if (~hot).any():
-        found = _repeat_starts(rows[~hot])
-        doc.append(found[0])
-        place.append(found[1])
+        parts.append(_repeat_starts(rows[~hot]))
     if hot.any():
         here = rows[hot]
-        k = np.frombuffer(b"".join(here["doc"]), "<i8")
+        k, tag = _keys(here)
         start = np.frombuffer(b"".join(here["place"]), "<u4").astype(np.int64)
         passed = np.frombuffer(b"".join(here["size"]), "<u4") == 1
         digest = np.frombuffer(b"".join(here["texts"]), "<u8").reshape(-1, 2)
-        doc.append(k[passed])
-        place.append(start[passed])
-        k, start, digest = k[~passed], start[~passed], digest[~passed]
-        order, new = _earliest((digest[:, 0], digest[:, 1]), k, start)
-        doc.append(k[order[~new]])
-        place.append(start[order[~new]])
-    return _joined(np.concatenate(doc), np.concatenate(place))
+        parts.append((k[passed], tag[passed], start[passed]))
+        k, tag, start, digest = k[~passed], tag[~passed], start[~passed], digest[~passed]
+        order, new = _earliest((digest[:, 0], digest[:, 1]), _ranks(k, tag), start)
+        again = order[~new]
+        parts.append((k[again], tag[again], start[again]))
+    return _joined(*(np.concatenate(c) for c in zip(*parts)))
 
 
-def _joined(doc: np.ndarray, place: np.ndarray) -> pd.DataFrame:
+def _joined(doc: np.ndarray, tag: np.ndarray, place: np.ndarray) -> pd.DataFrame:
     """Strings that overlap or touch as one span."""
-    order = np.lexsort((place, doc))
-    doc, place = doc[order], place[order]
+    order = np.lexsort((place, tag, doc))
+    doc, tag, place = doc[order], tag[order], place[order]
     new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (place[1:] > place[:-1] + LENGTH)
+    new[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (place[1:] > place[:-1] + LENGTH)
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(doc)) - 1 if len(doc) else first
-    return pd.DataFrame({"k": doc[first], "start": place[first], "end": place[last] + LENGTH})
+    return pd.DataFrame({"k": doc[first], "tag": tag[first], "start": place[first], "end": place[last] + LENGTH})
+
+
+def _hashed(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
-def _key(text: Column, tag_bits: int) -> Column:
-    """One number per text, ordered like doc_id. Its last bits tell texts of one id apart.
+def _key(tagged: bool, text: str = "text") -> list[Column]:
+    """k and tag: the order of texts is that of ids, then of tags. Texts without an id come first.
 
-    Texts without an id come first, by a hash of the text.
+    A tag is the 64-bit hash of the text, or 0 throughout where no id has two texts.
     """
-    hashed = F.xxhash64(F.coalesce(text, F.lit("")))
-    tag = hashed.bitwiseAND(F.lit((1 << tag_bits) - 1))
-    nameless = F.lit(FIRST) + hashed.bitwiseAND(F.lit((1 << 62) - 1))
-    own = F.shiftleft(F.col("doc_id").cast("long"), tag_bits).bitwiseOR(tag)
-    return F.when(F.col("doc_id").isNull(), nameless).otherwise(own)
+    tag = _hashed(text) if tagged else F.lit(0).cast("long")
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("k"), tag.alias("tag")]
 
 
-def _size_and_tag(docs: DataFrame) -> tuple[int, int]:
-    """Bytes of all texts, and how many bits the ids leave for telling texts apart, at most 16."""
-    widest = F.max(F.abs(F.col("doc_id").cast("long")))
-    row = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), widest.alias("widest")).first()
-    return row["bytes"] or 0, max(0, min(16, 62 - int(row["widest"] or 0).bit_length()))
+def _shares_ids(docs: DataFrame) -> bool:
+    """Whether some id has more than one text."""
+    hashes = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("k"), _hashed("text").alias("h"))
+    per_id = hashes.groupBy("k").agg(F.min("h").alias("low"), F.max("h").alias("high"))
+    return not per_id.filter(F.col("low") != F.col("high")).isEmpty()
 
 
 def very_common(keyed: DataFrame, total: int) -> np.ndarray:
@@ -345,11 +380,11 @@ def very_common(keyed: DataFrame, total: int) -> np.ndarray:
     """
     share = min(1.0, max(SAMPLE_BYTES / max(total, 1), SAMPLE_SHARE))
     of = round(1 / share)
-    sample = keyed.filter(F.pmod(F.xxhash64(F.lit("sample"), "k"), F.lit(of)) == 0)
+    sample = keyed.filter(F.pmod(F.xxhash64(F.lit("sample"), "k", "tag"), F.lit(of)) == 0)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, _, _, hashed, digest = _surroundings(_texts(batch)[1])
+            _, _, _, hashed, digest = _surroundings(_texts(batch)[2])
             order, new = _earliest((hashed, digest), hashed, hashed)
             found, count = np.unique(hashed[order[new]], return_counts=True)
             many = count > 1
@@ -361,17 +396,17 @@ def very_common(keyed: DataFrame, total: int) -> np.ndarray:
 
 
 def repeated_spans(keyed: DataFrame, total: int) -> DataFrame:
-    """Spans (k, start, end) of bytes that earlier strings cover; they may overlap."""
+    """Spans (k, tag, start, end) of bytes that earlier strings cover; they may overlap."""
     hot, buckets = very_common(keyed, total), max(1, -(-total // BUCKET_BYTES))
     sent = keyed.mapInArrow(_anchor_batches(hot, buckets), ANCHORS)
     verdicts = write_through(sent.groupBy("bucket").applyInPandas(_settle(hot, HOT_GROUP), VERDICTS), "verdicts")
     asks = verdicts.filter(F.col("state") != SETTLED)
     bundles = max(1, -(-asks.count() // BUCKET_ANCHORS))
-    per_text = asks.groupBy("k").agg(F.collect_list(F.struct("start", "end", "hash", "state")).alias("asks"))
-    asked = keyed.join(per_text.hint("shuffle_hash"), "k").select("k", "text", "asks")
+    per_text = asks.groupBy("k", "tag").agg(F.collect_list(F.struct("start", "end", "hash", "state")).alias("asks"))
+    asked = keyed.join(per_text.hint("shuffle_hash"), ["k", "tag"]).select("k", "tag", "text", "asks")
     contexts = asked.mapInArrow(_context_batches(bundles), CONTEXTS)
     compared = contexts.groupBy("bucket").applyInPandas(_find_repeats, SPANS)
-    settled = verdicts.filter(F.col("state") == SETTLED).select("k", "start", "end")
+    settled = verdicts.filter(F.col("state") == SETTLED).select("k", "tag", "start", "end")
     return settled.union(compared)
 
 
@@ -409,9 +444,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     strings stays. Null texts are empty. Texts without an id come first; texts that share an id follow
     each other; a row that repeats both id and text is cut like the first. An empty table gives no rows.
     """
-    total, tag_bits = _size_and_tag(docs)
-    keyed = docs.select(_key(F.col("text"), tag_bits).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
-    spans = repeated_spans(keyed, total).groupBy("k").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    total = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
+    tagged = _shares_ids(docs)
+    keyed = docs.select(*_key(tagged), F.coalesce("text", F.lit("")).alias("text"))
+    found = F.collect_list(F.struct("start", "end")).alias("spans")
+    spans = repeated_spans(keyed, total).groupBy("k", "tag").agg(found)
 
     @F.pandas_udf("n_bytes long, removed array<struct<start: long, end: long>>, kept binary, kept_text string")
     def cut(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
@@ -425,6 +462,5 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         return pd.DataFrame(out, columns=["n_bytes", "removed", "kept", "kept_text"])
 
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(_key(F.col("text"), tag_bits).alias("k"), row)
-    joined = rows.join(spans.hint("shuffle_hash"), "k", "left")
+    joined = docs.select(*_key(tagged), row).join(spans.hint("shuffle_hash"), ["k", "tag"], "left")
     return joined.select("row", cut(F.col("row.text"), F.col("spans")).alias("cut"))

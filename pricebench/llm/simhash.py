@@ -20,7 +20,6 @@ from pricebench.session import write_through
 
 BITS, BYTES = 64, 8
 MAX_BITS = 3
-NAMELESS = 1 << 62  # nodes from here on stand for rows without an id; ids are smaller
 SHARED = BYTES - MAX_BITS  # bytes that must agree
 TRIPLES = [c for block in (range(4), range(4, 8)) for c in combinations(block, 3)]
 QUINTUPLES = list(combinations(range(8), SHARED))
@@ -177,27 +176,53 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _classes(prints: DataFrame) -> DataFrame:
+    """(print, root, first) of each distinct print: the print that stands for its class, and its smallest doc_id.
+
+    Prints are their own nodes: rows that share an id, or have none, are no more linked by that than others.
+    """
+    firsts = prints.groupBy("print").agg(F.min("doc_id").cast("long").alias("first"))
+    nodes = write_through(firsts.withColumn("node", F.col("print")), "nodes")
+    roots = components(similar_nodes(nodes.select("print", "node")))
+    return nodes.join(roots, "node", "left").select("print", F.coalesce("root", "print").alias("root"), "first")
+
+
 def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): its fingerprint (signed) and its class.
 
     The class is the smallest doc_id that links of at most 3 bits reach. Null, empty and blank texts
     have fingerprint 0 and link like any other. Equal fingerprints are one node, so copies are never
     compared with each other. A null doc_id counts as larger than all others, and a class of only such
-    rows is null; ids lie below 2^62. Repeated rows give repeated rows; an empty table gives none.
+    rows is null. Repeated rows give repeated rows; an empty table gives none.
     """
     prints = write_through(docs.select("doc_id", fingerprint_of("text", width).alias("print")), "fingerprints")
-    # Two prints that differ above bit 62 alone are linked anyway, so sharing such a node is right.
-    nameless = F.lit(NAMELESS) + F.col("print").bitwiseAND(F.lit(NAMELESS - 1))
-    nodes = write_through(
-        prints.groupBy("print")
-        .agg(F.min("doc_id").cast("long").alias("first"))
-        .select("print", F.coalesce("first", nameless).alias("node")),
-        "nodes",
+    classes = write_through(_classes(prints), "classes")
+    names = classes.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = classes.join(names, "root").select("print", "component_id")
+    return prints.join(named, "print").select("doc_id", "print", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, width: int = 3) -> DataFrame:
+    """The rows of ``docs`` that lead their class of near duplicates, with all their columns.
+
+    The leader is the row with the smallest doc_id, null as the largest; between rows of one id a hash
+    of the whole row decides, so texts that share an id are told apart, and of repeated rows one stays.
+    The rows are written once with a number each, so that everything else moves numbers and prints only.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("number"),
+        F.struct(*columns).alias("row"),
+        F.col("doc_id"),
+        F.xxhash64(*columns).alias("hash"),
+        fingerprint_of("text", width).alias("print"),
     )
-    roots = components(similar_nodes(nodes))
-    root = F.coalesce("root", "node")
-    classes = nodes.join(roots, "node", "left").select("print", F.when(root < NAMELESS, root).alias("component_id"))
-    return prints.join(classes, "print").select("doc_id", "print", "component_id")
+    numbered = write_through(numbered, "numbered-rows")
+    classes = _classes(numbered.select("print", "doc_id")).select("print", "root")
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "hash", "number")
+    narrow = numbered.select("print", order.alias("at"))
+    leaders = narrow.join(classes, "print").groupBy("root").agg(F.min("at").alias("at")).select("at.number")
+    return numbered.select("number", "row").join(leaders, "number", "left_semi").select("row.*")
 
 
 def hex_print(name: str) -> Column:

@@ -11,11 +11,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ranked_in(df: DataFrame, group: str, key: Column, name: str, salts: int) -> DataFrame:
     """Add a gapless 0-based rank of each row inside its group.
 
-    Every group is split by a hash of the key into ``salts`` parts. Part sizes give where each
-    part starts, and windows run inside the parts, so a group that holds a third of all rows
-    is still ranked by many tasks. Rows with one key follow each other in no stated order.
+    Every group is split by a hash of the key and the whole row into ``salts`` parts. Part sizes give
+    where each part starts, and windows run inside the parts, so a group that holds a third of all
+    rows is still ranked by many tasks, and so are different rows of one key or without a key.
     """
-    part = F.pmod(F.xxhash64(key), F.lit(salts)).cast("int")
+    part = F.pmod(F.xxhash64(key, *[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
     keyed = df.withColumn("_part", part).withColumn("_key", key)
     before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricebench.llm import minhash, packing, pii, repeats, rules
+from pricebench.llm import packing, pii, repeats, rules, simhash
 from pricebench.session import write_through
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -33,11 +33,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies the row with the smallest doc_id stays.
 
-    Near copies share 0.8 or more of their runs of five words. Prints of such texts lie some ten of 64 bits
-    apart, too far for an index of print bytes, so bands of MinHash find the pairs; ``op8_simhash`` alone
-    keeps to three words and three bits.
+    Prints of three-word shingles link at three or fewer differing bits, as in ``op8_simhash``.
     """
-    return minhash.keep_one_of_each(docs)
+    return simhash.keep_one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +63,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("best-fit packing", packed),
 ]
 
-# Tokens, suffixes and trees are beyond SQL. The tests run each stage alone; no brute-force version of run() exists yet.
+# Tokens, suffixes and trees are beyond SQL; the tests hold run() against a chain in plain Python.
 ORACLE_SQL = None
 
 

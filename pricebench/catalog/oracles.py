@@ -217,7 +217,8 @@ SELECT concat('m', CAST(m.k AS VARCHAR)) AS model, e.event_id AS id,
 FROM events e CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 3 UNION ALL SELECT 7) m)"""
 
 REPLIES = """replies AS (
-SELECT event_id AS id, unnest(CASE WHEN event_id % 13 = 0 THEN [said, 'again 7'] ELSE [said] END) AS reply,
+SELECT event_id AS id, unnest(CASE WHEN event_id % 13 = 0 THEN [0, 1] ELSE [0] END) AS replied_at,
+       unnest(CASE WHEN event_id % 13 = 0 THEN [said, 'again 7'] ELSE [said] END) AS reply,
        CAST(100 + event_id % 50 AS BIGINT) AS prompt_tokens,
        CAST(event_id % 12 AS BIGINT) AS completion_tokens,
        CASE WHEN event_id % 5 = 0 THEN NULL
@@ -227,7 +228,8 @@ FROM (SELECT *, CASE WHEN event_id % 22 = 0 THEN ' ' || chr(10) WHEN event_id %
          WHEN 1 THEN 'about $1,249.99 or so' WHEN 2 THEN 'I cannot say' WHEN 3 THEN '-5'
          WHEN 4 THEN '.99' WHEN 5 THEN ' 12 or 13 '
          ELSE CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR) END END AS said FROM events)),
-answers AS (SELECT id, min(reply) AS reply FROM replies WHERE trim(reply, ' ' || chr(10)) <> '' GROUP BY id)"""
+answers AS (SELECT id, coalesce(arg_max(reply, replied_at) FILTER (WHERE trim(reply, ' ' || chr(10)) <> ''), '') AS reply
+FROM replies WHERE reply IS NOT NULL GROUP BY id)"""
 
 
 def scored(source: str) -> str:
@@ -524,7 +526,7 @@ FROM documents""",
     "summary_requests": sql(
         ITEMS + ",\n" + REPLIES,
         f"""SELECT id, {text(SUMMARY_SYSTEM)} AS system, coalesce(nullif("full", ''), title) AS user FROM items
-WHERE coalesce(summary, '') = '' AND id NOT IN (SELECT id FROM answers WHERE id % 2 = 0)""",
+WHERE coalesce(summary, '') = '' AND id NOT IN (SELECT id FROM answers WHERE id % 2 = 0 AND reply <> '')""",
     ),
     "summary_requests_first": sql(
         SPLIT

@@ -398,8 +398,7 @@ def hashed_features(spark, sf_dir):
 @query
 def svd_features(spark, sf_dir):
     train, _, test = parts(spark, sf_dir)
-    model = create("svd-ridge", components=16, max_features=V.TFIDF_TERMS, stop_words=V.STOP_WORDS)
-    reduced = model.fit(train).reduce(test)
+    reduced = create("svd-ridge", stop_words=V.STOP_WORDS).fit(train).reduce(test)
     return reduced.select("id", F.posexplode(vector_array("reduced")).alias("component", "value")).select(
         "id", "component", F.abs("value").alias("size")
     )
@@ -475,33 +474,22 @@ def model_features(spark, sf_dir):
 
 @query
 def model_bow_ridge(spark, sf_dir):
-    return _score(spark, sf_dir, "bow-linear", max_features=V.BOW_TERMS, stop_words=V.STOP_WORDS)
+    return _score(spark, sf_dir, "bow-linear", stop_words=V.STOP_WORDS)
 
 
 @query
 def model_svd_ridge(spark, sf_dir):
-    return _score(spark, sf_dir, "svd-ridge", components=16, max_features=V.TFIDF_TERMS, stop_words=V.STOP_WORDS)
+    return _score(spark, sf_dir, "svd-ridge", stop_words=V.STOP_WORDS)
 
 
 @query
 def model_random_forest(spark, sf_dir):
-    return _score(
-        spark, sf_dir, "random-forest", max_features=300, trees=10, max_depth=6, stop_words=V.STOP_WORDS
-    )
+    return _score(spark, sf_dir, "random-forest", stop_words=V.STOP_WORDS)
 
 
 @query
 def model_boosted_trees(spark, sf_dir):
-    return _score(
-        spark,
-        sf_dir,
-        "boosted-trees",
-        max_features=300,
-        rounds=12,
-        max_depth=4,
-        patience=4,
-        stop_words=V.STOP_WORDS,
-    )
+    return _score(spark, sf_dir, "boosted-trees", stop_words=V.STOP_WORDS)
 
 
 @query
@@ -644,19 +632,11 @@ def compare_baselines(spark, sf_dir):
 
 @query
 def compare_all_models(spark, sf_dir):
-    words = {"max_features": 300, "stop_words": V.STOP_WORDS}
-    models = [
-        create("random"),
-        create("average"),
-        create("category-average"),
-        create("features"),
-        create("bow-linear", **words),
-        create("svd-ridge", components=8, **words),
-        create("random-forest", trees=5, max_depth=5, **words),
-        create("boosted-trees", rounds=5, max_depth=3, **words),
-        create("hashed-huber", stop_words=V.STOP_WORDS),
-        create("zero-shot", replies=V.replies(spark, sf_dir)),
-    ]
+    """The ten models at the library's own sizes."""
+    words = {"stop_words": V.STOP_WORDS}
+    models = [create(name) for name in ("random", "average", "category-average", "features")]
+    models += [create(name, **words) for name in ("bow-linear", "svd-ridge", "random-forest", "boosted-trees", "hashed-huber")]
+    models.append(create("zero-shot", replies=V.replies(spark, sf_dir)))
     return compare_models(curated(spark, sf_dir), models, SLICE_ROWS)
 
 

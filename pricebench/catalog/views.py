@@ -120,7 +120,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replies by event, some of them blank, some given twice."""
+    """Replies by event, some of them blank, some followed by another one."""
     key = F.col("event_id")
     amount = _cents(F.col("value"))
     said = [F.concat(F.lit("$"), amount), "about $1,249.99 or so", "I cannot say", "-5", ".99", " 12 or 13 "]
@@ -131,7 +131,7 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = F.when(key % 13 == 0, F.array(blank, F.lit("again 7"))).otherwise(F.array(blank))
     return table(spark, sf_dir, "events").select(
         key.alias("id"),
-        F.explode(again).alias("reply"),
+        F.posexplode(again).alias("replied_at", "reply"),
         (100 + key % 50).cast("bigint").alias("prompt_tokens"),
         (key % 12).cast("bigint").alias("completion_tokens"),
         F.when(key % 5 != 0, (key % 9).cast("double") / F.lit(10000.0)).alias("cost"),

@@ -24,6 +24,7 @@ PRICE_SYSTEM = (
 PRICE_QUESTION = "How much does this cost, to the nearest dollar?"
 PRICE_TEMPERATURE = 0.0
 PRICE_MAX_TOKENS = 12
+ORDER = "replied_at"
 
 
 def _messages(system: str, user: Column) -> Column:
@@ -31,15 +32,34 @@ def _messages(system: str, user: Column) -> Column:
     return F.array(message("system", F.lit(system)), message("user", user))
 
 
-def one_reply_each(replies: DataFrame) -> DataFrame:
-    """At most one reply per id, (id, reply): retries give several, and blank ones do not count.
+def one_reply_each(replies: DataFrame, order: str = ORDER) -> DataFrame:
+    """At most one reply per id, (id, reply): retries give several.
 
-    Of several the least stays, in the order of their type. The choice is an aggregate, so
-    repeats are dropped before anything is shuffled.
+    The newest by the column ``order`` stays, of equal ones the largest; without such a column the least
+    one does. Blank replies do not count, but an id with no others has the empty reply; null ones never
+    count. The choice is an aggregate, so repeats are dropped before anything is shuffled.
     """
+    reply = F.col("reply")
     numeric = isinstance(replies.schema["reply"].dataType, T.NumericType)
-    said = F.col("reply").isNotNull() if numeric else strip(F.col("reply")) != ""
-    return replies.filter(said).groupBy("id").agg(F.min("reply").alias("reply"))
+    said = reply if numeric else F.when(strip(reply) != "", reply)
+    newest = F.min(said)
+    if order in replies.columns:
+        newest = F.max_by(said, F.when(said.isNotNull(), F.struct(order, "reply")))
+    if not numeric:
+        newest = F.coalesce(newest, F.min(F.when(reply.isNotNull(), F.lit(""))))
+    return replies.groupBy("id").agg(newest.alias("reply")).filter(F.col("reply").isNotNull())
+
+
+def answered(replies: DataFrame) -> DataFrame:
+    """The ids that need no further request: those with a reply that says something.
+
+    A table without replies lists such ids.
+    """
+    if "reply" not in replies.columns:
+        return replies.select("id").distinct()
+    held = one_reply_each(replies)
+    blank = F.lit(False) if isinstance(held.schema["reply"].dataType, T.NumericType) else F.col("reply") == ""
+    return held.filter(~blank).select("id")
 
 
 def _first_of_splits(items: DataFrame, limit: int) -> DataFrame:
@@ -58,13 +78,16 @@ def summary_requests(items: DataFrame, replies: DataFrame | None = None, limit:
         items = _first_of_splits(items, limit)
     pending = items.filter(F.coalesce("summary", F.lit("")) == "")
     if replies is not None:
-        pending = pending.join(one_reply_each(replies).select("id"), "id", "left_anti")
+        pending = pending.join(answered(replies), "id", "left_anti")
     user = F.coalesce(or_null(F.col("full")), F.col("title"))
     return pending.select("id", _messages(SUMMARY_SYSTEM, user).alias("messages"))
 
 
 def apply_summaries(items: DataFrame, replies: DataFrame) -> DataFrame:
-    """Fill empty summaries from stripped replies; a summary already there stays."""
+    """Fill empty summaries from stripped replies; a summary already there stays.
+
+    An item whose replies are all blank gets the empty summary.
+    """
     given = one_reply_each(replies).select("id", strip(F.col("reply")).alias("_reply"))
     filled = F.coalesce(or_null(F.col("summary")), F.col("_reply"), F.col("summary"))
     return items.join(given, "id", "left").withColumn("summary", filled).drop("_reply")

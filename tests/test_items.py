@@ -55,6 +55,19 @@ def test_apply_summaries_and_usage(spark, items):
     assert tuple(R.summary_usage(replies).first()) == (13, 4, 0.75)
 
 
+def test_the_newest_reply_counts(spark, items):
+    schema = "id bigint, reply string, replied_at int"
+    given = [(1, "first", 1), (1, "second", 3), (1, "late", 2), (1, " ", 9), (1, None, 10), (2, "b", 1), (2, "c", 1), (3, " ", 1), (0, None, 1)]
+    replies = spark.createDataFrame(given, schema).repartition(4)
+    assert {r["id"]: r["reply"] for r in R.one_reply_each(replies).collect()} == {1: "second", 2: "c", 3: ""}
+    assert {r["id"]: r["reply"] for r in R.one_reply_each(replies.drop("replied_at")).collect()} == {1: "first", 2: "b", 3: ""}
+    asked = {r["id"] for r in R.summary_requests(items, replies).collect()}
+    assert asked == {3}  # only blank replies: asked again
+    numbers = spark.createDataFrame([(1, 2.0, 5), (1, 3.0, 6), (2, None, 1)], "id bigint, reply double, replied_at int")
+    assert {r["id"]: r["reply"] for r in R.one_reply_each(numbers).collect()} == {1: 3.0}
+    assert {r["id"]: r["guess"] for r in R.price_replies(items, replies).collect()} == {0: 0.0, 1: 0.0, 2: 0.0, 3: 0.0}
+
+
 def test_zero_shot(spark, items):
     row = R.zero_shot_requests(items).orderBy("id").first()
     assert row["messages"][1]["content"] == "How much does this cost, to the nearest dollar?\n\nshort"

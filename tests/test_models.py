@@ -10,8 +10,9 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from pricebench.catalog import views as V
-from pricebench.models import linear
+from pricebench.models import growing, linear, trees
 from pricebench.models.linear import CLASSICAL_FLOOR, ridge, truncated_svd
+from pricebench.models.sparse import SparseTable
 from pricebench.models.base import PriceModel
 from pricebench.models.registry import REGISTRY, create
 from pricebench.models.trees import rounds_to_keep
@@ -115,30 +116,94 @@ def test_bow_ridge_is_the_closed_form(train, test):
     assert np.allclose([found[r["id"]] for r in held], inverse(x @ w + b), rtol=1e-4)
 
 
-@pytest.mark.parametrize("features", [3, 5_000])
-def test_ridge_solvers_agree_with_the_closed_form(spark, features):
+def dense_table(spark, x, y, parts=3):
+    rows = [(i, Vectors.dense(v), float(t)) for i, (v, t) in enumerate(zip(x, y))]
+    return SparseTable(spark.createDataFrame(rows, ["id", "features", "label"]).repartition(parts), x.shape[1], key="id")
+
+
+@pytest.mark.parametrize("rank", [320, 2])
+@pytest.mark.parametrize("shape", [(200, 3), (60, 90)])
+def test_ridge_is_the_closed_form(spark, monkeypatch, shape, rank):
+    """One solver at every width, with all leading directions known beforehand or few of them."""
+    monkeypatch.setattr(linear, "RANK", rank)
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(200, 3)) * [1.0, 5.0, 0.2]
-    y = x @ [0.3, -0.1, 2.0] + 1.5 + rng.normal(size=200)
-    df = spark.createDataFrame([(Vectors.dense(v), float(t)) for v, t in zip(x, y)], ["features", "label"])
-    fitted = ridge(df, 7.0, features)
+    x = rng.normal(size=shape) * np.geomspace(5, 0.2, shape[1])
+    y = x[:, :3] @ [0.3, -0.1, 2.0] + 1.5 + rng.normal(size=shape[0])
     w, b = closed_form_ridge(x, y, 7.0)
-    assert np.allclose(fitted.coefficients.toArray(), w, atol=1e-6) and fitted.intercept == pytest.approx(b, abs=1e-6)
+    with dense_table(spark, x, y) as table:
+        weights, intercept = ridge(table, 7.0, tolerance=1e-10)
+    assert np.allclose(weights, w, atol=1e-8) and intercept == pytest.approx(b, abs=1e-8)
+
+
+def test_ridge_that_does_not_settle_raises(spark, monkeypatch):
+    monkeypatch.setattr(linear, "RANK", 2)
+    rng = np.random.default_rng(0)
+    with dense_table(spark, rng.normal(size=(50, 40)) * np.geomspace(1, 1e3, 40), rng.normal(size=50)) as table:
+        with pytest.raises(RuntimeError):
+            ridge(table, 1e-3, steps=3)
+
+
+def test_wide_bag_of_words_is_the_closed_form(train, test):
+    """Every term of the corpus, more terms than rows."""
+    rows, held = train.collect(), test.collect()
+    matrix, terms, _ = counts_matrix(rows, 20_000)
+    assert len(terms) > 3 * len(rows)
+    w, b = closed_form_ridge(matrix, np.log1p([r["price"] for r in rows]))
+    x = np.array([[collections.Counter(tokens(item_text(r)))[t] for t in terms] for r in held], dtype=float)
+    model = create("bow-linear", **SMALL).fit(train)
+    found = np.array([guesses(model, test)[r["id"]] for r in held])
+    assert np.allclose(np.log1p(found), np.log1p(inverse(x @ w + b)), atol=2e-4)
 
 
 def test_svd(spark, train, test, tmp_path):
     vectoriser = FE.Vectoriser(150, tfidf=True, stop_words=V.STOP_WORDS).fit(train)
-    vectors = vectoriser.transform(train)
-    dense = np.array([r["features"].toArray() for r in vectors.collect()])
-    values, basis = truncated_svd(vectors, 5)
-    assert np.allclose(values, np.linalg.svd(dense, compute_uv=False)[:5], rtol=1e-6)
+    dense = np.array([r["features"].toArray() for r in vectoriser.transform(train).orderBy("id").collect()])
+    exact = np.linalg.svd(dense, compute_uv=False)
+    with SparseTable(linear.with_label(vectoriser.transform(train)), 150) as table:
+        values, basis = truncated_svd(table, 5)
+        assert table.passes == 10
+        assert np.allclose(values, exact[:5], rtol=1e-6) and np.allclose(basis.T @ basis, np.eye(5), atol=1e-10)
+        assert np.allclose(truncated_svd(table, 140)[0], exact[:140], rtol=1e-9)
+    residual = dense.T @ (dense @ basis) - basis * values**2
+    assert np.abs(residual).max() < 1e-4 * values[0] ** 2
     model = create("svd-ridge", components=5, max_features=150, **SMALL).fit(train)
-    w, b = closed_form_ridge(dense @ basis, np.log1p([r["price"] for r in train.collect()]))
+    log_prices = np.log1p([r["price"] for r in train.orderBy("id").collect()])
+    w, b = closed_form_ridge(dense @ model.basis, log_prices)
     held = np.array([r["features"].toArray() for r in vectoriser.transform(test).orderBy("id").collect()])
     found = guesses(model, test)
-    assert np.allclose([found[k] for k in sorted(found)], inverse(held @ basis @ w + b), rtol=1e-4)
+    assert np.allclose([found[k] for k in sorted(found)], inverse(held @ model.basis @ w + b), rtol=1e-6)
+    reduced = {r["id"]: r["reduced"].toArray() for r in model.reduce(test).collect()}
+    assert np.allclose([reduced[k] for k in sorted(reduced)], held @ model.basis, atol=1e-10)
     model.save(f"{tmp_path}/svd")
-    assert guesses(create("svd-ridge").load(f"{tmp_path}/svd"), test) == pytest.approx(found)
+    loaded = create("svd-ridge").load(f"{tmp_path}/svd")
+    assert guesses(loaded, test) == pytest.approx(found) and np.array_equal(loaded.basis, model.basis)
+
+
+@pytest.mark.parametrize("direct", [0, 1 << 20])
+def test_blocks_hold_every_row(spark, monkeypatch, direct):
+    """Empty rows, rows larger than a block, sums cut into chunks, added up by tasks or by the driver."""
+    from pricebench.models import sparse
+
+    monkeypatch.setattr(sparse, "DIRECT_BYTES", direct)
+    rng = np.random.default_rng(1)
+    x = np.where(rng.random((37, 50)) < 0.3, rng.normal(size=(37, 50)), 0.0)
+    x[[0, 5, 36]] = 0
+    x[7] = 1.0
+    y = rng.normal(size=37)
+    rows = [(i, Vectors.sparse(50, {int(j): v[j] for j in np.flatnonzero(v)}), float(t)) for i, (v, t) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, ["id", "features", "label"])
+    monkeypatch.setattr(sparse, "BLOCK_ENTRIES", 20)
+    monkeypatch.setattr(sparse, "CHUNK", 7)
+    with SparseTable(df.repartition(3), 50) as table:
+        assert table.number == 37
+        matrix = rng.normal(size=(50, 3))
+        assert np.allclose(table.gram_times(matrix), x.T @ (x @ matrix))
+        moments = table.moments()
+        assert np.allclose(moments.sums, x.sum(axis=0)) and np.allclose(moments.squares, (x**2).sum(axis=0))
+        assert np.allclose(moments.with_target, x.T @ y) and (moments.n, moments.target) == (37, pytest.approx(y.sum()))
+        assert table.passes == 2
+    with SparseTable(df.limit(0), 50) as empty:
+        assert empty.number == 0 and not empty.gram_times(matrix).any()
 
 
 @pytest.mark.parametrize("block", [1, 1 << 22])
@@ -151,10 +216,13 @@ def test_projection_of_empty_rows(spark, monkeypatch, block):
     assert found == [[0, 0], [6, 9], [0, 0], [2, 3], [0, 0]]
 
 
-def test_random_forest_stays_below_the_top_price(train, test):
-    model = create("random-forest", max_features=60, trees=4, max_depth=4, **SMALL).fit(train)
+def test_random_forest_stays_below_the_top_price(train, test, tmp_path):
+    model = create("random-forest", max_features=60, trees=4, **SMALL).fit(train)
     top = train.agg(F.max("price")).first()[0]
-    assert all(CLASSICAL_FLOOR <= g <= top + 1e-9 for g in guesses(model, test).values())
+    before = guesses(model, test)
+    assert all(CLASSICAL_FLOOR <= g <= top + 1e-9 for g in before.values())
+    model.save(f"{tmp_path}/forest")
+    assert guesses(create("random-forest").load(f"{tmp_path}/forest"), test) == before
 
 
 def test_rounds_to_keep():
@@ -163,11 +231,18 @@ def test_rounds_to_keep():
     assert rounds_to_keep([1, 2, 3], patience=40) == 1
 
 
-def test_boosted_trees_stop_early(curated, train, test):
-    parameters = dict(max_features=60, rounds=4, max_depth=2, patience=1, **SMALL)
-    stopped = create("boosted-trees", **parameters).fit(train, curated.filter("split = 'validation'"))
+def test_boosted_trees_stop_early(monkeypatch, curated, train, test):
+    """The kept trees are the first ones of the same fit: no tree is grown twice."""
+    grown = []
+    monkeypatch.setattr(trees, "grow", lambda table, task, numbers: grown.extend(numbers) or growing.grow(table, task, numbers))
+    monkeypatch.setattr(trees, "ROUNDS_PER_CHECK", 2)
+    parameters = dict(max_features=60, rounds=6, max_depth=2, patience=1, **SMALL)
     full = create("boosted-trees", **parameters).fit(train)
-    assert full.model.stages[-2].getNumTrees == 4 >= stopped.model.stages[-2].getNumTrees
+    assert grown == list(range(6)) and len(full.trees) == 6
+    grown.clear()
+    stopped = create("boosted-trees", **parameters).fit(train, curated.filter("split = 'validation'"))
+    assert grown == list(range(len(grown))) and len(stopped.trees) == rounds_to_keep(stopped.losses, 1) <= len(grown)
+    assert [t.packed() for t in stopped.trees] == [t.packed() for t in full.trees[: len(stopped.trees)]]
     assert len(guesses(stopped, test)) == test.count()
 
 
@@ -179,10 +254,57 @@ def test_huber_and_round_trip(curated, test, tmp_path):
     assert scored.agg(F.min("guess")).first()[0] >= 0.0
 
 
-def test_huber_guesses_stay_in_reach(train, test):
+def test_huber_loss_and_descent(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(80, 6)) * [1, 2, 0.5, 1, 3, 0] + 2.0
+    y = x @ [0.5, -0.2, 0.1, 0, 0, 0] + rng.standard_t(2, size=80)
+    mean, sd = x.mean(axis=0), x.std(axis=0)
+    z = np.divide(x - mean, sd, out=np.zeros_like(x), where=sd > 1e-12)
+
+    def plain(parameters, penalty):
+        residual = y - z @ parameters[:-1] - parameters[-1]
+        pull = np.clip(residual, -1, 1)
+        value = linear.smooth_l1(residual).mean() + penalty / 2 * parameters[:-1] @ parameters[:-1]
+        return value, np.append(penalty * parameters[:-1] - z.T @ pull / 80, -pull.mean())
+
+    with dense_table(spark, x, y) as table:
+        loss = linear.HuberLoss(table)
+        for at in (np.zeros(7), rng.normal(size=7)):
+            value, slope = loss(at, 0.3)
+            assert value == pytest.approx(plain(at, 0.3)[0]) and np.allclose(slope, plain(at, 0.3)[1])
+        found = linear.descend(lambda p: loss(p, 0.1), np.zeros(7), 100, 1e-12)
+        weights, intercept = loss.plain(found)
+        assert np.abs(plain(found, 0.1)[1]).max() < 1e-4  # nothing left to gain
+        assert np.allclose(x @ weights + intercept, z @ found[:-1] + found[-1])
+
+
+def test_penalty_is_chosen_on_validation_rows_alone(spark, curated, train):
+    """The path ends after two steps without gain, and no test row is read while fitting."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("string")
+    def watched(split, text):
+        read.add(int((split == "test").sum()))
+        return text
+
+    items = curated.withColumn("full", watched("split", "full"))
+    validation = items.filter("split = 'validation'")
+    model = create("hashed-huber", buckets=256, max_iter=20, **SMALL).fit(items.filter("split = 'train'"), validation)
+    assert read.value == 0
+    errors = [error for _, error in model.path]
+    best = errors.index(min(errors))
+    assert model.validation_mae == errors[best] and len(errors) in (best + 3, len(model.penalties))
+    assert [p for p, _ in model.path] == list(model.penalties[: len(errors)])
+    found = model.transform(validation).agg(F.avg(F.abs(F.col("guess") - F.col("price")))).first()[0]
+    assert found == pytest.approx(model.validation_mae)
+    alone = create("hashed-huber", buckets=256, max_iter=20, **SMALL).fit(train)
+    assert len(alone.path) >= 3 and np.isfinite(alone.validation_mae)
+
+
+def test_huber_guesses_stay_in_reach(curated, train, test):
     error = lambda model: model.transform(test).agg(F.avg(F.abs(F.col("guess") - F.col("price")))).first()[0]
-    huber = create("hashed-huber", **SMALL).fit(train)
-    assert error(huber) < 2 * error(create("average").fit(train))
+    huber = create("hashed-huber", **SMALL).fit(train, curated.filter("split = 'validation'"))
+    assert error(huber) < 1.5 * error(create("average").fit(train))
 
 
 def test_baselines(spark, train, test):

@@ -10,6 +10,8 @@ HASH_BITS = 52
 RANK_BITS = 16
 STEPS_PER_E = 1024
 STEPS_PER_OCTAVE = 4096
+FRACTION_BITS = 52
+DIGIT_SHIFTS = (42, 21, 0)  # digits of 22, 21 and 21 bits
 
 
 def seeded_hash(seed: str, key: Column) -> Column:
@@ -77,41 +79,61 @@ def take_smallest(df: DataFrame, k: int, order: list, bucket: Column) -> DataFra
     return ranked.filter(F.col("_offset") + F.col("_rank") <= k).drop("_bucket", "_offset", "_rank")
 
 
-def exact_median(df: DataFrame, value: Column, keys: list[str], name: str = "median") -> DataFrame:
-    """Exact median per group; even groups average the middle two.
+def ordered_bits(value: Column) -> Column:
+    """The 64 bits of a double as a long in the order of the doubles; -0 is 0, NaN the largest.
 
-    The ``median`` aggregate keeps all distinct values of a group in one task. Here equal
-    values are counted before the shuffle, the middle bucket of each group is found from
-    bucket sizes, and only that bucket is put in order.
+    Exponent and fraction come from exact divisions by powers of two, once a logarithm has told about where
+    to look.
     """
-    # The join below rules out nulls. Said here, it holds for both uses of the tally, which
-    # Spark then computes once.
-    known = reduce(and_, [F.col(name).isNotNull() for name in [*keys, "_bucket"]])
-    tally = (
-        df.select(*keys, value.alias("_value"))
-        .groupBy(*keys, "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", magnitude_bucket(F.col("_value")))
-        .filter(known)
-    )
-    group = Window.partitionBy(*keys)
-    before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    middle = (
-        tally.groupBy(*keys, "_bucket")
-        .agg(F.sum("_n").alias("_size"))
-        .withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        .withColumn("_total", F.sum("_size").over(group))
-        .withColumn("_low", F.expr("(_total - 1) div 2"))
-        .withColumn("_high", F.expr("_total div 2"))
-        .filter((F.col("_offset") <= F.col("_high")) & (F.col("_offset") + F.col("_size") > F.col("_low")))
-        .drop("_size", "_total")
-    )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("_value")
-    end = F.col("_offset") + F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    return (
-        tally.join(middle, [*keys, "_bucket"])
-        .withColumn("_end", end)
-        .filter((F.col("_end") - F.col("_n") <= F.col("_high")) & (F.col("_end") > F.col("_low")))
-        .groupBy(*keys)
-        .agg(((F.min("_value") + F.max("_value")) / 2).alias(name))
+    size = F.abs(value)
+    guess = F.floor(F.log2(size)).cast("double")
+    power = F.pow(F.lit(2.0), guess)
+    exponent = F.when(size < power, guess - 1).when(size >= power * 2, guess + 1).otherwise(guess)
+    fraction = (size / F.pow(F.lit(2.0), exponent) - 1) * F.lit(2.0**FRACTION_BITS)
+    normal = F.shiftleft((exponent + 1023).cast("bigint"), FRACTION_BITS) + fraction.cast("bigint")
+    bits = (
+        F.when(F.isnan(value), F.lit((2047 << FRACTION_BITS) + 1))
+        .when(size == F.lit(float("inf")), F.lit(2047 << FRACTION_BITS))
+        .when(size < F.lit(2.0**-1022), (size / F.lit(2.0**-1074)).cast("bigint"))
+        .otherwise(normal)
     )
+    return F.when((value < 0) & ~F.isnan(value), -bits).otherwise(bits)
+
+
+def exact_median(df: DataFrame, value: Column, keys: list[str], name: str = "median") -> DataFrame:
+    """Exact median per group; even groups average the middle two. Null values and keys do not count.
+
+    The ``median`` aggregate keeps all distinct values of a group in one task, and so does any sort of a
+    group. Here the middle is found digit by digit of the ordered bits. Each pass counts the values by one more
+    digit, inside the tasks first, and only those that share the digits found so far; the counts of one
+    digit, of which there are at most 2^22, tell in which the middle ones lie. No value is sent or sorted.
+    """
+    known = reduce(and_, [F.col(c).isNotNull() for c in [*keys, "_value"]])
+    coded = df.select(*keys, value.cast("double").alias("_value")).filter(known)
+    coded = coded.withColumn("_bits", ordered_bits(F.col("_value")))
+    wanted = None
+    for shift in DIGIT_SHIFTS:
+        digit = F.shiftright("_bits", shift).alias("_digit")
+        if wanted is None:
+            near, group = coded.select(*keys, digit), list(keys)
+        else:
+            same = [F.shiftright("_bits", before).alias("_found"), digit, *(["_value"] if not shift else [])]
+            found = wanted.select(*keys, "_found").distinct()
+            near, group = coded.select(*keys, *same).join(found, [*keys, "_found"]), [*keys, "_found"]
+        exact = [F.min("_value").alias("_value")] if not shift else []
+        counts = near.groupBy(*group, "_digit").agg(F.count(F.lit(1)).alias("_size"), *exact)
+        window = Window.partitionBy(*group)
+        offset = F.coalesce(F.sum("_size").over(window.orderBy("_digit").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        counts = counts.withColumn("_offset", offset)
+        if wanted is None:
+            total = F.sum("_size").over(window)
+            ranks = F.array(F.expr("(_total - 1) div 2"), F.expr("_total div 2"))
+            placed = counts.withColumn("_total", total).withColumn("_rank", F.explode(ranks))
+        else:
+            placed = counts.join(wanted, group)
+        inside = (F.col("_rank") >= F.col("_offset")) & (F.col("_rank") < F.col("_offset") + F.col("_size"))
+        wanted = placed.filter(inside).select(
+            *keys, F.col("_digit").alias("_found"), (F.col("_rank") - F.col("_offset")).alias("_rank"), *(["_value"] if not shift else [])
+        )
+        before = shift
+    return wanted.groupBy(*keys).agg(((F.min("_value") + F.max("_value")) / 2).alias(name))

@@ -55,6 +55,32 @@ def test_median(spark):
     assert overall[0]["m"] == statistics.median(x for _, x in rows if x is not None)
 
 
+def test_bits_follow_the_order(spark):
+    """The bits of every kind of double, as the machine has them."""
+    import struct
+
+    rng = random.Random(8)
+    values = [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(3000)]
+    values += [0.0, -0.0, 1.0, 2.0, 4.0, 0.1, 999.49, 5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.7976931348623157e308]
+    values += [float("inf"), float("-inf")] + [2.0**k for k in range(-1074, 1024, 13)] + [2.0**k * (1 - 2**-53) for k in range(-1000, 1024, 17)]
+    values = [v for v in values if v == v]
+    expected = [(-1 if v < 0 else 1) * struct.unpack("<q", struct.pack("<d", abs(v)))[0] for v in values]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(len(values), float("nan"))], "n int, v double")
+    found = [r["b"] for r in df.select("n", O.ordered_bits(F.col("v")).alias("b")).orderBy("n").collect()]
+    assert found[:-1] == expected and found[-1] > max(expected)
+
+
+def test_median_of_many_values_that_share_their_upper_digits(spark):
+    """A third of a million distinct values between 1 and 1 + 2^-20, next to a small group."""
+    df = spark.range(333_333).selectExpr("'close' AS g", "1 + (id * 7919 % 333333) * pow(2D, -40) AS x")
+    df = df.union(spark.createDataFrame([("few", 1.0), ("few", 3.0), (None, 9.0)], "g string, x double"))
+    median = O.exact_median(df, F.col("x"), ["g"], "m")
+    assert {r["g"]: r["m"] for r in median.collect()} == {"close": 1 + 166_666 * 2.0**-40, "few": 2.0}
+    plan = median._jdf.queryExecution().executedPlan().toString()
+    assert "RangePartitioning" not in plan and "rangepartitioning" not in plan
+    assert O.exact_median(df.filter("g = 'none'"), F.col("x"), ["g"], "m").collect() == []
+
+
 def test_buckets_follow_the_order(spark):
     rng = random.Random(5)
     values = sorted([rng.uniform(-1, 1) * 10.0 ** rng.randint(-300, 300) for _ in range(2000)] + [0.0, 1.0, -1.0])

@@ -355,7 +355,6 @@ CASE WHEN ({number('price')}) IS NULL THEN 'price missing or not double' ELSE ''
 CASE band WHEN 'green' THEN '#1b7f5c' WHEN 'amber' THEN '#c98500' ELSE '#b3261e' END AS colour,
 max(greatest(truth, guess)) OVER (PARTITION BY model) AS top FROM banded""",
     ),
-    "model_roundtrip": sql(SPLIT, "SELECT new_id AS id, true AS same FROM placed WHERE split = 'test'"),
     # Parse and clean
     "parse_price": sql(
         LISTINGS, f"SELECT * FROM (SELECT src_id, {number('price')} AS price FROM listings) WHERE price IS NOT NULL"
@@ -453,6 +452,13 @@ SELECT tf.id, tf.term,
 FROM tf JOIN wide v ON tf.term = v.term)""",
         "SELECT id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY id)), 6) AS tfidf FROM weighted",
     ),
+    "hashed_features": sql(
+        TOKENS
+        + """,
+hashed AS (SELECT DISTINCT id, CAST(CAST(concat('0x', substr(md5(term), 1, 8)) AS BIGINT) % 5000 AS INTEGER) AS bucket
+FROM tokens)""",
+        """SELECT id, bucket, round(CAST(1 AS DOUBLE) / sqrt(count(*) OVER (PARTITION BY id)), 6) AS value FROM hashed""",
+    ),
     "hand_features": sql(
         ITEMS,
         f"""SELECT id, coalesce(weight, CAST(0 AS DOUBLE)) AS weight,
@@ -595,3 +601,4 @@ format('{:.3f}', rmsle) AS rmsle, format('{:.3f}', r2) AS r2, format('{:.1f}%',
         f"SELECT {EVENT_METRICS} FROM metrics",
     ),
 }
+ORACLES["model_roundtrip"] = ORACLES["model_features"]  # what is read back must guess what was fitted

@@ -5,7 +5,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     CountVectorizerModel,
     ElementwiseProduct,
-    HashingTF,
     Normalizer,
     RegexTokenizer,
     SQLTransformer,
@@ -131,9 +130,15 @@ class Vectoriser:
 
 
 def hashing_stages(buckets: int = HASH_BUCKETS, stop_words: list[str] | None = None) -> list:
-    """Presence of each hashed token, rows of length 1; no vocabulary to carry around."""
+    """Presence of each hashed token, rows of length 1; no vocabulary to carry around.
+
+    The bucket is the first 32 bits of the token's md5 modulo their number, so that any engine finds the same.
+    """
+    bucket = f"CAST(CAST(conv(substr(md5(t), 1, 8), 16, 10) AS BIGINT) % {buckets} AS STRING)"
+    numbers = [str(i) for i in range(buckets)]
     return token_stages(stop_words) + [
-        HashingTF(inputCol="tokens", outputCol="hashed", numFeatures=buckets, binary=True),
+        SQLTransformer(statement=f"SELECT *, transform(tokens, t -> {bucket}) AS buckets FROM __THIS__"),
+        CountVectorizerModel.from_vocabulary(numbers, inputCol="buckets", outputCol="hashed").setBinary(True),
         Normalizer(p=2.0, inputCol="hashed", outputCol="features"),
     ]
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 HASH_BITS = 52
 RANK_BITS = 16
 STEPS_PER_E = 1024
+SPREAD = 4096  # tasks' worth of rows that need no order
 STEPS_PER_OCTAVE = 4096
 FRACTION_BITS = 52
 DIGIT_SHIFTS = (42, 21, 0)  # digits of 22, 21 and 21 bits
@@ -48,9 +49,14 @@ def magnitude_bucket(value: Column) -> Column:
 
 def _offsets(df: DataFrame) -> DataFrame:
     """How many rows lie before each bucket. One row per bucket, a bounded number."""
+    return _sized_offsets(df).drop("_size")
+
+
+def _sized_offsets(df: DataFrame) -> DataFrame:
+    """How many rows each bucket has, and how many lie before it."""
     sizes = df.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    return sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)))
 
 
 def with_position(df: DataFrame, order: list, bucket: Column, name: str) -> DataFrame:
@@ -66,17 +72,34 @@ def with_position(df: DataFrame, order: list, bucket: Column, name: str) -> Data
     return joined.withColumn(name, rank.cast("bigint")).drop("_bucket", "_offset")
 
 
-def take_smallest(df: DataFrame, k: int, order: list, bucket: Column) -> DataFrame:
+def take_smallest(df: DataFrame, k: int, order: list, bucket: Column, then: Column | None = None) -> DataFrame:
     """The k first rows of a total order, without a single-task sort.
 
     Buckets that start at or after k are dropped by the broadcast join, so about k rows
-    are shuffled however large the table is.
+    are shuffled however large the table is. Where many rows can share a bucket, ``then`` is the next
+    part of the order, with few values: the one bucket that k cuts through is divided by it, and only the
+    division that k cuts through is put in order. Rows before it need no rank.
     """
     keyed = df.withColumn("_bucket", bucket)
-    near = _offsets(keyed).filter(F.col("_offset") < k)
-    inside = Window.partitionBy("_bucket").orderBy(*order)
-    ranked = keyed.join(F.broadcast(near), "_bucket").withColumn("_rank", F.row_number().over(inside))
-    return ranked.filter(F.col("_offset") + F.col("_rank") <= k).drop("_bucket", "_offset", "_rank")
+    near = _sized_offsets(keyed).filter(F.col("_offset") < k)
+    placed = keyed.join(F.broadcast(near), "_bucket")
+    if then is None:
+        inside = Window.partitionBy("_bucket").orderBy(*order)
+        ranked = placed.withColumn("_rank", F.row_number().over(inside))
+        return ranked.filter(F.col("_offset") + F.col("_rank") <= k).drop("_bucket", "_offset", "_size", "_rank")
+    cut = F.col("_offset") + F.col("_size") > k
+    placed = placed.withColumn("_next", F.when(cut, then))
+    divided = placed.filter(cut).select(F.col("_next").alias("_bucket"), (F.lit(k) - F.col("_offset")).alias("_left"))
+    sizes = divided.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_members"), F.max("_left").alias("_left"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    room = F.col("_left") - F.coalesce(F.sum("_members").over(before), F.lit(0))
+    divisions = sizes.select(F.col("_bucket").alias("_next"), "_members", room.alias("_room")).filter(F.col("_room") > 0)
+    near_rows = placed.join(F.broadcast(divisions), "_next", "left").filter(~cut | F.col("_room").isNotNull())
+    open_ = F.coalesce(F.col("_members") > F.col("_room"), F.lit(False))
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SPREAD))
+    task = F.when(open_, F.lit(-1)).otherwise(spread)
+    ranked = near_rows.withColumn("_rank", F.row_number().over(Window.partitionBy(task).orderBy(*order)))
+    return ranked.filter(~open_ | (F.col("_rank") <= F.col("_room"))).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def ordered_bits(value: Column) -> Column:

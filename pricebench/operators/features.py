@@ -95,7 +95,8 @@ def token_counts(tokenised: DataFrame) -> DataFrame:
 def vocabulary(tokenised: DataFrame, size: int, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """The ``size`` most frequent terms found in enough documents; ties by the term."""
     frequent = token_counts(tokenised).filter(F.col("documents") >= min_documents)
-    return take_smallest(frequent, size, [F.desc("n"), "term"], -magnitude_bucket(F.col("n")))
+    start = F.rpad(F.hex(F.substring(F.col("term").cast("binary"), 1, 2)), 4, "0")
+    return take_smallest(frequent, size, [F.desc("n"), "term"], -magnitude_bucket(F.col("n")), start)
 
 
 class Vectoriser:

@@ -36,6 +36,30 @@ def test_take_smallest_of_equal_values(spark):
     assert sorted(r["id"] for r in found.collect()) == list(range(10))
 
 
+@pytest.mark.parametrize("k", [0, 1, 40, 700, 2500, 2999, 3000, 9000])
+def test_take_smallest_of_crowded_buckets(spark, k):
+    """Three values share all rows; the next part of the order divides the one that k cuts through."""
+    draw = random.Random(2)
+    rows = [(draw.choice([1, 2, 2, 2, 3]), "".join(draw.choice("abcé") for _ in range(6)) + str(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "n int, term string").repartition(5)
+    start = F.hex(F.substring(F.col("term").cast("binary"), 1, 2))
+    found = O.take_smallest(df, k, [F.desc("n"), "term"], -O.magnitude_bucket(F.col("n")), start)
+    assert found.columns == ["n", "term"]
+    assert sorted(map(tuple, found.collect())) == sorted(sorted(rows, key=lambda r: (-r[0], r[1]))[:k])
+
+
+def test_equal_counts_are_spread_over_tasks(spark):
+    df = spark.range(40_000).selectExpr("2 AS n", "concat(char(97 + id % 26), char(97 + id % 25), id) AS term").repartition(4)
+    start = F.substring("term", 1, 2)
+    found = O.take_smallest(df, 30_000, [F.desc("n"), "term"], -O.magnitude_bucket(F.col("n")), start)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 30_000 and max(sizes) < 0.4 * 30_000  # four shuffle partitions
+
+
 def test_median(spark):
     rng = random.Random(3)
     groups = {

@@ -6,6 +6,8 @@ third of the capacity are matched greedily in pairs, smaller ones go best fit in
 gives every piece its rank among the pieces of its length, which the plan maps to a sequence and an offset.
 """
 
+import base64
+import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -140,8 +142,10 @@ def tokenised_pieces(
     """
     name = docs.schema["doc_id"].dataType.simpleString()
 
+    special = special_strings(tokenizer_path)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path, ranks_path)
+        encode = encoder(tokenizer_path, ranks_path, special)
         for batch in batches:
             held: list[tuple] = []
             size = 0
@@ -165,25 +169,28 @@ def as_batch(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
     return pa.record_batch(arrays, ["doc_id", "piece", "start", "length", "ids"])
 
 
-def encoder(tokenizer_path: str, ranks_path: str) -> Callable[[str], list[int]]:
-    """Text to ids as the tokenizer file says, special strings included."""
-    import base64
+def special_strings(tokenizer_path: str) -> list[str]:
+    """The strings that the tokenizer file gives ids of their own."""
+    with open(tokenizer_path, encoding="utf-8") as file:
+        return [token["content"] for token in json.load(file)["added_tokens"]]
+
 
+def encoder(tokenizer_path: str, ranks_path: str, special: list[str]) -> Callable[[str], list[int]]:
+    """Text to ids as the tokenizer file says; the file itself is only loaded for texts with special strings."""
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
 
-    full = Tokenizer.from_file(tokenizer_path)
-    special = [t.content for t in full.get_added_tokens_decoder().values()]
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    plain = tiktoken.Encoding(
-        "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-    )
+    plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    loaded: list[Tokenizer] = []
 
     def encode(text: str) -> list[int]:
         if any(s in text for s in special):
-            return full.encode(text, add_special_tokens=False).ids
+            if not loaded:
+                loaded.append(Tokenizer.from_file(tokenizer_path))
+            return loaded[0].encode(text, add_special_tokens=False).ids
         return plain.encode_ordinary(text)
 
     return encode

@@ -12,8 +12,8 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from pricebench.llm import byte_pairs, spelling, whitening
-from pricebench.llm.catalog import QUERIES
+from pricebench.llm import byte_pairs, packing, spelling, whitening
+from pricebench.llm.catalog import QUERIES, token_files
 from cases import CLASHING, ODD_TEXTS, documents
 
 RANKS = byte_pairs.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -76,6 +76,21 @@ def test_ids_and_offsets_of_odd_strings(model):
         assert split == inside
 
 
+def test_packing_encodes_as_the_tokenizer_file_says():
+    """Random strings over all kinds of characters, with special strings among them."""
+    from tokenizers import Tokenizer
+
+    files = token_files()
+    library, encode = Tokenizer.from_file(files[0]), packing.encoder(*files, packing.special_strings(files[0]))
+    draw = random.Random(12)
+    strings = [*odd_strings(), "x <|endoftext|> y", "<|endoftext|>" * 3, "<|endoftext", "a" * 5000]
+    for _ in range(300):
+        points = (draw.choice([draw.randrange(0x20, 0x250), draw.randrange(0x250, 0xD800), draw.randrange(0xE000, 0x110000)]) for _ in range(40))
+        strings.append("".join(chr(p) + draw.choice(["", "", " ", "\n"]) for p in points))
+    for text in strings:
+        assert list(encode(text)) == library.encode(text, add_special_tokens=False).ids
+
+
 def test_long_texts_are_cut_where_nothing_changes(model):
     codec = byte_pairs.Codec(model)
     draw = random.Random(7)

@@ -177,8 +177,13 @@ def fit_rules(counts: dict[int, int], rules: int, rounds: int = 200) -> RuleMode
 
 
 def learn_rules(measured: DataFrame) -> RuleModel:
-    """Fit on all rows of a table with the struct column ``f``: at most 3^rules sums reach the driver."""
-    rows = measured.groupBy(pattern("f").alias("code")).agg(F.count(F.lit(1)).alias("n")).collect()
+    """Fit on all rows of a table with the struct column ``f``."""
+    return fit_patterns(measured.select(pattern("f").alias("code")))
+
+
+def fit_patterns(patterns: DataFrame) -> RuleModel:
+    """Fit on the column ``code`` of a table: at most 3^rules sums reach the driver."""
+    rows = patterns.groupBy("code").agg(F.count(F.lit(1)).alias("n")).collect()
     return fit_rules({r["code"]: r["n"] for r in rows}, len(votes("f")))
 
 
@@ -209,9 +214,11 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is kept, with all their columns and nothing else.
 
-    The texts are measured twice, once to learn and once to filter; that costs less than sending
-    every text through a shuffle to meet its verdict.
+    Every text is measured once: the rows are written next to what their verdict needs, which is their
+    pattern of votes, and read again when the rules are weighed.
     """
-    model = learn_rules(docs.select(features("text").alias("f")))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    return judged(docs.select(row, features("text").alias("f")), model).filter("kept").select("row.*")
+    measured = docs.select(row, features("text").alias("f"))
+    marked = write_through(measured.select("row", base_failed().alias("failed"), pattern("f").alias("code")), "marked-rows")
+    model = fit_patterns(marked)
+    return marked.filter(~F.col("failed") & (model.quality(F.col("code")) >= 0.5)).select("row.*")

@@ -3,8 +3,10 @@
 Strict patterns with a check each give the base spans, which always stay. High-recall generators propose
 more spans, which may overlap and may lie inside runs that a strict pattern took whole and then dropped.
 Boosted trees score them by their format and context. What the strict patterns settle teaches the trees:
-a candidate that is a base span is a true one, one that fails the check of its kind is not. A threshold
-for each kind is calibrated on candidates that no tree has seen.
+a candidate that is a base span is a true one, one that fails the check of its kind is not. Both are also
+written the way people write them where no strict pattern looks: marks spelled out or in brackets, other
+separators, groups of digits, no country code. Only these copies calibrate the threshold of each kind, on
+candidates that no tree has seen, since what is left to judge looks like them.
 """
 
 from collections.abc import Callable
@@ -226,6 +228,30 @@ def _labelled(rows: DataFrame) -> DataFrame:
     return rows.withColumn("label", F.when(same, 1.0).when(fails, 0.0))
 
 
+AT = (" [at] ", "(at)", " @ ", "[at]", " (at) ")
+DOT = (" [dot] ", "(dot)", ".", "[dot]", ".")
+BETWEEN = (".", "-", " ", "", ". ")
+
+
+def _distorted(rows: DataFrame) -> DataFrame:
+    """Labelled candidates once more, in a form that the strict patterns pass over; which one, a hash decides.
+
+    Emails get their marks spelled out, cards other groups and separators, phones lose their country code and get
+    other separators, addresses get brackets around their dots. True and false candidates are treated alike.
+    """
+    turn = F.pmod(F.xxhash64(F.lit("form"), "k", "h", "kind", "start", "end"), F.lit(len(AT))).cast("int")
+    one_of = lambda forms: F.get(F.array(*[F.lit(f) for f in forms]), turn)
+    match = F.col("match")
+    local, domain = F.substring_index(match, "@", 1), F.substring_index(match, "@", -1)
+    email = F.concat(local, one_of(AT), F.replace(domain, F.lit("."), one_of(DOT)))
+    card = F.regexp_replace(digits(match), F.lit("([0-9]{4})(?=[0-9])"), F.concat(F.lit("$1"), one_of(BETWEEN)))
+    bare = F.regexp_replace(match, r"^\+[0-9]{1,3}[ .-]?", "")
+    plain = F.regexp_replace(bare, "[()]", "")
+    phone = F.when(turn < 2, bare).otherwise(F.regexp_replace(plain, F.lit(r"[\x20.-]+"), one_of(("-", "-", ".", "-", " "))))
+    spelled = F.when(F.col("kind") == 0, email).when(F.col("kind") == 2, card).when(F.col("kind") == 3, phone)
+    return rows.withColumn("match", spelled.otherwise(F.replace(match, F.lit("."), F.lit("[.]"))))
+
+
 def _fold() -> Column:
     return F.pmod(F.xxhash64(F.lit("fold"), "k", "h", "kind", "start", "end"), F.lit(4))
 
@@ -238,20 +264,24 @@ def _draw() -> Column:
 def fit(rows: DataFrame, most: int = TRAIN_ROWS) -> tuple[GBTClassificationModel, list[float]] | None:
     """Trees from at most ``most`` labelled candidates (a documented bound), and one threshold per kind from all.
 
-    Of each kind and label an equal share with the smallest hashes is drawn, so no kind crowds out another.
-    A quarter of all candidates is never drawn. Thresholds are calibrated on every labelled candidate that is
-    not in the draw. None if there is nothing to learn from.
+    Of each kind and label an equal share with the smallest hashes is drawn, so no kind crowds out another; half
+    of the rows are the candidates as they stand, half their distorted copies. A quarter of all candidates is
+    never drawn. Thresholds are calibrated on the distorted copy of every labelled candidate that is not in the
+    draw. None if there is nothing to learn from.
     """
     known = rows.filter(F.col("label").isNotNull()).withColumns({"fold": _fold(), "draw": _draw()})
     place = Window.partitionBy("kind", "label").orderBy("draw", "k", "h", "start", "end")
-    drawn = (
+    chosen = (
         known.filter("fold > 0")
         .withColumn("place", F.row_number().over(place))
-        .filter(F.col("place") <= max(1, most // (2 * len(KINDS))))
-        .select("kind", "label", "draw", features().alias("features"))
+        .filter(F.col("place") <= max(1, most // (4 * len(KINDS))))
+        .drop("place")
     )
+    columns = "kind", "label", "draw", features().alias("features")
+    drawn = chosen.select(*columns).union(_distorted(chosen).select(*columns))
     drawn = write_through(drawn, "pii-training")
-    strata = drawn.groupBy("kind", "label").agg(F.max("draw").alias("last"), F.count(F.lit(1)).alias("n")).collect()
+    half = (F.count(F.lit(1)) / 2).cast("long").alias("n")  # each candidate is there twice
+    strata = drawn.groupBy("kind", "label").agg(F.max("draw").alias("last"), half).collect()
     if len({r["label"] for r in strata}) < 2:
         return None
     ensure_checkpoints(rows.sparkSession)
@@ -261,7 +291,7 @@ def fit(rows: DataFrame, most: int = TRAIN_ROWS) -> tuple[GBTClassificationModel
         lambda a, b: a | b,
         [(F.col("kind") == r["kind"]) & (F.col("label") == r["label"]) & (F.col("draw") <= r["last"]) for r in strata],
     )
-    unseen = known.filter((F.col("fold") == 0) | ~used)
+    unseen = _distorted(known.filter((F.col("fold") == 0) | ~used))
     scored = model.transform(unseen.select("kind", "label", array_to_vector(features()).alias("features")))
     return model, _thresholds(scored, {(r["kind"], r["label"]): r["n"] for r in strata})
 
@@ -273,6 +303,7 @@ def score() -> Column:
 def _thresholds(scored: DataFrame, drawn: dict[tuple[int, float], int]) -> list[float]:
     """Per kind, the lowest of 19 steps from 0.5 up at which ``PRECISION`` is met; 2 (never) if there is none.
 
+    A kind of which no true candidate is left over for this takes the step that holds for all kinds together.
     ``drawn`` says how many candidates of each kind and label are missing from ``scored``; those that are
     there stand for them too, since the draw takes other shares of true and false ones.
     """
@@ -285,11 +316,12 @@ def _thresholds(scored: DataFrame, drawn: dict[tuple[int, float], int]) -> list[
         row = by.get((kind, label))
         return row[f"n{i}"] * (row["n"] + drawn.get((kind, label), 0)) / row["n"] if row else 0.0
 
-    found = []
-    for kind in range(len(KINDS)):
-        pairs = [(s, reached(kind, 1.0, i), reached(kind, 0.0, i)) for i, s in enumerate(steps)]
-        found.append(min((s for s, true, false in pairs if true and true >= PRECISION * (true + false)), default=2.0))
-    return found
+    def lowest(kinds: list[int]) -> float:
+        sums = [[sum(reached(kind, label, i) for kind in kinds) for label in (1.0, 0.0)] for i in range(len(steps))]
+        return min((s for s, (true, false) in zip(steps, sums) if true and true >= PRECISION * (true + false)), default=2.0)
+
+    every = list(range(len(KINDS)))
+    return [lowest([kind] if (kind, 1.0) in by else every) for kind in every]
 
 
 def _keys() -> list[Column]:

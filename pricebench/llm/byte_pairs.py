@@ -11,6 +11,7 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ AT_ONCE = 1 << 18  # characters given to the library in one call
 TOKENS = 1 << 20  # ids of the rows that go back to Spark together
 REMEMBERED, LONGEST = 1 << 18, 64  # segments whose ids a worker keeps, and their longest
 UNKNOWN = "�".encode()
+LAST = itemgetter(-1)
 SAFE_CUT = re.compile(r"(?= )(?<=\S)")
 
 
@@ -73,7 +75,10 @@ def segments(text: str) -> list[str]:
     No match of the pattern goes on with white space after a visible character, and none looks back, so the
     segments match as the whole does.
     """
-    return SAFE_CUT.split(text)
+    parts = text.split(" ")
+    if "" in parts or any(map(str.isspace, set(map(LAST, parts)))):
+        return SAFE_CUT.split(text)  # some blank follows another one, or other white space
+    return [parts[0], *map(" ".__add__, parts[1:])]
 
 
 class Codec:
@@ -87,6 +92,7 @@ class Codec:
         for shown, number in vocabulary.items():
             self.table[number] = bytes(map(octet.__getitem__, shown))
         self.sizes = np.array([len(token) for token in self.table], np.int64)
+        self.inside = np.array([token[0] & 0xC0 == 0x80 for token in self.table])  # starts inside a character
         self.known: dict[str, bytes] = {}
 
     def learn(self, wanted: list[str]) -> dict[str, bytes]:
@@ -120,21 +126,30 @@ class Codec:
             self.known = {s: self.known[s] for s in met if len(s) <= LONGEST}
         return found
 
-    def offsets(self, ids: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray, int]:
-        """First character and end of each token in its text, and how many tokens start inside a character."""
+    def offsets(self, ids: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """First character and end of each token in its text."""
         if not len(ids):
-            return np.zeros(0, np.int32), np.zeros(0, np.int32), 0
-        first_bytes = np.frombuffer(raw, np.uint8) & 0xC0 != 0x80
-        character = np.cumsum(first_bytes, dtype=np.int32) - 1
+            return np.zeros(0, np.int32), np.zeros(0, np.int32)
+        character = np.cumsum(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80, dtype=np.int32) - 1
         ends = np.cumsum(self.sizes[ids])
-        starts = ends - self.sizes[ids]
-        return character[starts], character[ends - 1] + 1, int(np.count_nonzero(~first_bytes[starts]))
+        return character[ends - self.sizes[ids]], character[ends - 1] + 1
 
     def bytes_of(self, ids: Iterable[int | None]) -> bytes:
         """The bytes of the tokens; null and ids outside the vocabulary give the replacement character."""
         top = len(self.table)
         return b"".join([self.table[i] if i is not None and 0 <= i < top else UNKNOWN for i in ids])
 
+    def bytes_of_lists(self, lists: pa.ListArray) -> Iterator[bytes]:
+        """The bytes of each list of ids, none for a null list."""
+        flat = lists.flatten()
+        if flat.null_count or (len(flat) and not 0 <= pc.min(flat).as_py() <= pc.max(flat).as_py() < len(self.table)):
+            yield from (self.bytes_of(ids.as_py() or ()) for ids in lists)
+            return
+        ids, at = flat.to_numpy(), 0
+        for n in pc.list_value_length(lists).fill_null(0).to_pylist():
+            yield b"".join(map(self.table.__getitem__, ids[at : at + n].tolist()))
+            at += n
+
     def texts_of(self, pieces: Iterable[Iterable[int]]) -> Iterator[str]:
         """The text of consecutive pieces of one document; a character cut between two is part of the later one.
 
@@ -190,9 +205,10 @@ def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text"
             for start, stop in _slices(batch.column(1), 2 * TOKENS):
                 texts = [value or "" for value in batch.column(1).slice(start, stop - start).to_pylist()]
                 ids = own.encode(texts)
-                firsts, ends, split = zip(*(own.offsets(found, t.encode()) for found, t in zip(ids, texts)))
+                split = [int(own.inside[found].sum()) for found in ids]
                 columns = [batch.column(0).slice(start, stop - start), _lists(ids), pa.array(split, pa.int32())]
-                columns += [_lists(firsts), _lists(ends)] if offsets else []
+                if offsets:
+                    columns += map(_lists, zip(*(own.offsets(found, t.encode()) for found, t in zip(ids, texts))))
                 yield pa.record_batch(columns, names)
 
     schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, ids array<int>, n_split int"
@@ -207,6 +223,6 @@ def decoded(df: DataFrame, ids: Column, model: str) -> Column:
     @F.arrow_udf("binary")
     def decode(lists: pa.Array) -> pa.Array:
         own = codec(shared.value)
-        return pa.array([own.bytes_of(found.as_py() or ()) for found in lists], pa.binary())
+        return pa.array(list(own.bytes_of_lists(lists)), pa.binary())
 
     return decode(ids)

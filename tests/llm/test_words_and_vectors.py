@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -64,7 +65,7 @@ def test_ids_and_offsets_of_odd_strings(model):
         assert ids.tolist() == LIBRARY.encode_ordinary(text)
         raw = text.encode()
         assert codec.bytes_of(ids) == raw
-        starts, ends, inside = codec.offsets(ids, raw)
+        starts, ends = codec.offsets(ids, raw)
         at, split = 0, 0
         for number, first, end in zip(ids.tolist(), starts, ends):
             token = codec.table[number]
@@ -73,7 +74,7 @@ def test_ids_and_offsets_of_odd_strings(model):
             assert at >= len(text[:first].encode()) and at + len(token) <= len(text[:end].encode())
             split += at > len(text[:first].encode())
             at += len(token)
-        assert split == inside
+        assert split == codec.inside[ids].sum()
 
 
 def test_packing_encodes_as_the_tokenizer_file_says():
@@ -113,6 +114,10 @@ def test_split_characters_are_joined(model):
         assert "".join(codec.texts_of(pieces)) == text
     assert "".join(codec.texts_of([[RANKS[b"\xe6"]]])) == "�"
     assert codec.bytes_of([None, -1, 10**6]) == "�".encode() * 3
+    lists = [[ids[0]], None, [], ids]
+    assert list(codec.bytes_of_lists(pa.array(lists, pa.list_(pa.int32())))) == [codec.table[ids[0]], b"", b"", text.encode()]
+    lists[2] = [None, 10**6]
+    assert list(codec.bytes_of_lists(pa.array(lists, pa.list_(pa.int32()))))[2] == "�".encode() * 2
 
 
 def test_a_vocabulary_without_all_bytes_is_refused():

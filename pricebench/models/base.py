@@ -9,6 +9,7 @@ from pricebench.operators.evaluate import as_predictions
 class PriceModel:
     display_name = "pricer"
     needs_training = True
+    reads_words = False  # whether it makes features of the words of a text, without its ``stop_words``
 
     def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "PriceModel":
         return self

@@ -15,7 +15,14 @@ from pyspark.sql import types as T
 
 from pricebench.models.base import PipelinePriceModel, PriceModel
 from pricebench.models.sparse import Rows, SparseTable
-from pricebench.operators.features import Vectoriser, hashing_stages, inverse_target, log_target, train_cap
+from pricebench.operators.features import (
+    Vectoriser,
+    hashing_stages,
+    inverse_target,
+    log_target,
+    train_cap,
+    vectors_of,
+)
 
 STEPS, TOLERANCE = 2_000, 1e-6
 RANK, RANGE_ROUNDS = 320, 2  # leading eigenvectors that a ridge fit solves for directly
@@ -118,13 +125,14 @@ class HandFeatureRegression(PipelinePriceModel):
 class WordWeights(PriceModel):
     """A weight per term: the standardised log price is their sum over a text, and an intercept."""
 
+    reads_words = True
     words: PipelineModel
     weights: np.ndarray
     intercept: float
     mean, sd, floor = 0.0, 1.0, CLASSICAL_FLOOR
 
     def transform(self, items: DataFrame) -> DataFrame:
-        vectors = self.words.transform(items).select(*items.columns, "features")
+        vectors = vectors_of(self.words, items)
         scored = project(vectors, self.weights[:, None], "_sum")
         log_price = (vector_to_array("_sum")[0] + self.intercept) * self.sd + self.mean
         return scored.withColumn("guess", inverse_target(log_price, self.floor)).select(*items.columns, "guess")
@@ -162,6 +170,7 @@ class WordCountRidge(WordWeights):
     ):
         self.rows = rows
         self.alpha = alpha
+        self.stop_words = stop_words
         self.vectoriser = Vectoriser(max_features, stop_words=stop_words)
 
     def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "WordCountRidge":
@@ -220,6 +229,7 @@ class SvdRidge(WordWeights):
         self.components = components
         self.rows = rows
         self.alpha = alpha
+        self.stop_words = stop_words
         self.vectoriser = Vectoriser(max_features, tfidf=True, stop_words=stop_words)
 
     def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "SvdRidge":
@@ -241,7 +251,7 @@ class SvdRidge(WordWeights):
         return self
 
     def reduce(self, items: DataFrame) -> DataFrame:
-        vectors = self.words.transform(items).select(*items.columns, "features")
+        vectors = vectors_of(self.words, items)
         return project(vectors, self.basis, "reduced").drop("features")
 
     def save(self, path: str) -> None:
@@ -366,8 +376,8 @@ class HashedHuber(WordWeights):
         target = log_target(F.col("price"))
         moments = train.agg(F.avg(target).alias("mean"), F.stddev_samp(target).alias("sd")).first()
         self.mean, self.sd = moments["mean"], moments["sd"] or 1.0
-        labelled = self.words.transform(train).select("features", ((target - self.mean) / self.sd).alias("label"))
-        held = self.words.transform(validation).select("features", F.col("price").alias("label"))
+        labelled = vectors_of(self.words, train).select("features", ((target - self.mean) / self.sd).alias("label"))
+        held = vectors_of(self.words, validation).select("features", F.col("price").alias("label"))
         with SparseTable(labelled, self.buckets) as table, SparseTable(held, self.buckets) as check:
             loss, at = HuberLoss(table), np.zeros(self.buckets + 1)
             self.path: list[tuple[float, float]] = []

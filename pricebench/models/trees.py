@@ -17,7 +17,7 @@ from pricebench.models.base import PriceModel
 from pricebench.models.growing import Ensemble, Growth, Task, Tree, grow, poisson, uniform
 from pricebench.models.linear import CLASSICAL_FLOOR, with_label
 from pricebench.models.sparse import Rows, SparseTable
-from pricebench.operators.features import Vectoriser, inverse_target, train_cap
+from pricebench.operators.features import Vectoriser, inverse_target, train_cap, vectors_of
 from pricebench.operators.split import first_rows
 
 # The settings of the reference models that decide what is fitted.
@@ -78,13 +78,14 @@ def sum_of_leaves(df: DataFrame, trees: list[Tree], levels: Callable, terms: int
 class TreeModel(PriceModel):
     """The log price is ``base`` and ``factor`` times the sum of the leaves that a text ends in."""
 
+    reads_words = True
     words: PipelineModel
     trees: list[Tree]
     base, factor, terms = 0.0, 1.0, 0
     levels: Callable
 
     def transform(self, items: DataFrame) -> DataFrame:
-        vectors = self.words.transform(items).select(*items.columns, "features")
+        vectors = vectors_of(self.words, items)
         scored = sum_of_leaves(vectors, self.trees, type(self).levels, self.terms, "_sum")
         log_price = F.lit(float(self.base)) + F.lit(float(self.factor)) * F.col("_sum")
         return scored.withColumn("guess", inverse_target(log_price, CLASSICAL_FLOOR)).select(*items.columns, "guess")
@@ -123,6 +124,7 @@ class Forest(TreeModel):
         self.number = trees
         self.rows = rows
         self.max_depth = max_depth
+        self.stop_words = stop_words
         self.vectoriser = Vectoriser(max_features, stop_words=stop_words)
 
     def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "Forest":
@@ -173,6 +175,7 @@ class BoostedTrees(TreeModel):
         self.validation_rows = validation_rows
         self.patience = patience
         self.factor = BOOST_RATE
+        self.stop_words = stop_words
         self.vectoriser = Vectoriser(max_features, tfidf=True, stop_words=stop_words)
 
     def fit(self, train: DataFrame, validation: DataFrame | None = None) -> "BoostedTrees":

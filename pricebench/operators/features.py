@@ -59,6 +59,9 @@ def train_cap(train: DataFrame, rows: int | None) -> DataFrame:
     return train if rows is None else train.filter(F.col("id") < rows)
 
 
+TOKEN_STAGES = 3
+
+
 def token_stages(stop_words: list[str] | None = None) -> list:
     """Items to ``text`` to ``tokens``: lower case, two word characters or more, no stop words."""
     words = stop_words if stop_words is not None else StopWordsRemover.loadDefaultStopWords("english")
@@ -70,9 +73,18 @@ def token_stages(stop_words: list[str] | None = None) -> list:
 
 
 def tokenise(items: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
+    """Items with their ``tokens``; those that have them already stay as they are."""
+    if "tokens" in items.columns:
+        return items
     return Pipeline(stages=token_stages(stop_words)).fit(items).transform(items)
 
 
+def vectors_of(words: PipelineModel, items: DataFrame) -> DataFrame:
+    """Items with their ``features``; the stages that make tokens are left out where items have them."""
+    stages = words.stages[TOKEN_STAGES:] if "tokens" in items.columns else words.stages
+    return PipelineModel(stages).transform(items).select(*items.columns, "features")
+
+
 def token_counts(tokenised: DataFrame) -> DataFrame:
     """Corpus frequency and document frequency of each term.
 
@@ -127,7 +139,7 @@ class Vectoriser:
         return self
 
     def transform(self, items: DataFrame) -> DataFrame:
-        return self.model.transform(items).select(*items.columns, "features")
+        return vectors_of(self.model, items)
 
 
 def hashing_stages(buckets: int = HASH_BUCKETS, stop_words: list[str] | None = None) -> list:

@@ -350,6 +350,32 @@ def test_each_row_is_scored_once(spark, curated):
     assert scored.value == predictions.count() > 0
 
 
+def test_texts_are_split_up_once(spark, curated):
+    """Five models that read words, one table of tokens: every text is read by one scan, and the guesses stay."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("string")
+    def watched(text):
+        read.add(len(text))
+        return text
+
+    def models():
+        small = dict(max_features=40, **SMALL)
+        return [
+            create("bow-linear", **small),
+            create("svd-ridge", components=3, **small),
+            create("random-forest", trees=2, **small),
+            create("boosted-trees", rounds=2, **small),
+            create("hashed-huber", buckets=64, max_iter=3, **SMALL),
+        ]
+
+    together = compare(curated.withColumn("full", watched("full")), models(), 30)
+    assert read.value == curated.count()
+    alone = [r for model in models() for r in compare(curated, [model], 30).collect()]
+    key = lambda r: (r["model"], r["id"])
+    assert {key(r): r["guess"] for r in together.collect()} == pytest.approx({key(r): r["guess"] for r in alone}, rel=1e-3)
+
+
 def test_training_average_has_no_r2(curated):
     train = curated.filter("split = 'train'")
     board = compare_models(train.withColumn("split", F.lit("test")).unionByName(train), [create("average")], 10_000)

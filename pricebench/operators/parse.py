@@ -92,9 +92,13 @@ def parse_listings(raw: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 def parse_yield(raw: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Listings and usable items per category, in one pass: a falling share is a parser alarm."""
-    usable = _priceable() & (F.length("full") >= min_chars)
+    priced = _priced(raw).withColumn("_priceable", _priceable())
+    # Rows without a fair price count as listings; their text is taken away before any work on it.
+    texts = [name for name in RAW.fieldNames() if name in priced.columns and name not in ("category", "price")]
+    bare = priced.withColumns({name: F.when(F.col("_priceable"), F.col(name)) for name in texts})
+    usable = F.col("_priceable") & (F.length("full") >= min_chars)
     return (
-        _with_body(_priced(raw))
+        _with_body(bare)
         .groupBy("category")
         .agg(F.count(F.lit(1)).alias("listings"), F.count_if(usable).alias("usable"))
     )

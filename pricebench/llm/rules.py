@@ -6,6 +6,7 @@ votes, and expectation-maximisation over these sums gives accuracies and, for ea
 probability that its documents are good.
 """
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,8 +27,9 @@ FUNCTION_WORDS = frozenset(
 )
 FEATURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "n_lines long, n_upper long, n_function long, n_alpha long, n_marks long, n_bare long"
+    "n_lines long, n_upper long, n_function long, n_alpha long, n_marks long, n_bare long, n_foreign long"
 )
+FOREIGN = re.compile("[^\\W\\d_\u0000-\u024f]")  # letters that no Latin alphabet has
 
 
 def repeated_words(words: list) -> int:
@@ -71,6 +73,7 @@ def measure(text: str | None) -> tuple:
         sum(map(str.isalpha, text)),
         text.count("!") + text.count("?"),
         sum(len(w) == 1 and not w.isalnum() for w in plain),
+        0 if text.isascii() else len(FOREIGN.findall(text)),
     )
 
 
@@ -97,7 +100,8 @@ def votes(f: str) -> list[Column]:
     """What each rule says of a struct of measured counts.
 
     A rule that looks for one kind of junk abstains where it finds none, since that says little of
-    the other kinds. Only rules on what prose has can vote good.
+    the other kinds. Only rules on what prose has can vote good. The rule on common words knows languages in
+    Latin letters, which share many of them; on texts mostly in other letters it abstains.
     """
     col = lambda name: F.col(f"{f}.{name}")
     words = F.greatest(col("n_words"), F.lit(1))
@@ -114,7 +118,7 @@ def votes(f: str) -> list[Column]:
         _bad_if(share("n_marks") > 0.3),
         _bad_if(share("n_bare") > 0.2),
         _vote((chars < 3.0) | (chars > 10.0), chars.between(4.0, 6.5)),
-        _vote(share("n_function") < 0.02, share("n_function") > 0.08),
+        _vote((share("n_function") < 0.02) & (2 * col("n_foreign") <= col("n_alpha")), share("n_function") > 0.08),
         _vote(alpha < 0.8, alpha > 0.92),
     ]
 

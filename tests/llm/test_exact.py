@@ -523,6 +523,15 @@ def test_training_reads_no_held_out_row(spark, sf_dir):
     assert classifier.labelled_sample(docs, labels, 10).count() == 10
 
 
+def test_the_rule_on_common_words_abstains_on_other_letters(spark):
+    texts = [PROSE * 3, "ко времени он шёл домой по улице и думал о хлебе " * 8, "日本語の文章を書いています " * 30, "xqz vbn wrt plk " * 40]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    measured = df.select("doc_id", rules.features("text").alias("f"))
+    found = measured.select("doc_id", rules.votes("f")[7].alias("v")).orderBy("doc_id").collect()
+    assert [r["v"] for r in found] == [1, 0, 0, -1]
+    assert rules.measure("éÀß abc 9_")[11] == 0 and rules.measure("он 日本 a")[11] == 4
+
+
 def test_rules_are_not_upside_down():
     good, bad = PROSE * 4, "### " * 80
     assert rules.measure(good)[2] == 0 and rules.measure(bad)[2] == 240

@@ -52,7 +52,18 @@ def with_label(items: DataFrame) -> DataFrame:
 
 
 def orthonormal(matrix: np.ndarray) -> np.ndarray:
-    return np.linalg.qr(matrix)[0]
+    """Orthonormal columns that span the same space.
+
+    Twice by the eigenvectors of the products of the columns, which costs little; by reflections where the
+    columns depend on each other too much for that.
+    """
+    found = matrix / np.maximum(np.linalg.norm(matrix, axis=0), 1e-300)
+    for _ in range(2):
+        values, turn = np.linalg.eigh(found.T @ found)
+        if values[0] <= 1e-13 * values[-1]:
+            return np.linalg.qr(matrix)[0]
+        found = found @ (turn / np.sqrt(values))
+    return found
 
 
 def leading_space(times, size: int, width: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -245,7 +256,8 @@ class SvdRidge(WordWeights):
             moments = table.moments()
         means = self.basis.T @ moments.means
         normal = np.diag(self.values**2 + self.alpha) - moments.n * np.outer(means, means)
-        reduced = np.linalg.solve(normal, self.basis.T @ moments.centred_with_target)
+        strength, turn = np.linalg.eigh(normal)
+        reduced = turn @ (turn.T @ (self.basis.T @ moments.centred_with_target) / strength)
         self.weights = self.basis @ reduced
         self.intercept = float(moments.target / max(moments.n, 1) - means @ reduced)
         return self

@@ -135,6 +135,16 @@ def test_ridge_is_the_closed_form(spark, monkeypatch, shape, rank):
     assert np.allclose(weights, w, atol=1e-8) and intercept == pytest.approx(b, abs=1e-8)
 
 
+def test_orthonormal_columns():
+    rng = np.random.default_rng(6)
+    easy, hard = rng.normal(size=(300, 20)), rng.normal(size=(300, 20)) * np.geomspace(1, 1e-12, 20)
+    hard[:, 7] = hard[:, 6] + 1e-13 * hard[:, 8]
+    for matrix in (easy, hard, np.zeros((30, 3)), np.ones((30, 2))):
+        found = linear.orthonormal(matrix)
+        assert np.allclose(found.T @ found, np.eye(matrix.shape[1]), atol=1e-10)
+        assert np.allclose(found @ (found.T @ matrix), matrix, atol=1e-9)
+
+
 def test_ridge_that_does_not_settle_raises(spark, monkeypatch):
     monkeypatch.setattr(linear, "RANK", 2)
     rng = np.random.default_rng(0)

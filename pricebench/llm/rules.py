@@ -182,13 +182,13 @@ def fit_rules(counts: dict[int, int], rules: int, rounds: int = 200) -> RuleMode
 
 def learn_rules(measured: DataFrame) -> RuleModel:
     """Fit on all rows of a table with the struct column ``f``."""
-    return fit_patterns(measured.select(pattern("f").alias("code")))
+    return fit_rules(pattern_counts(measured), len(votes("f")))
 
 
-def fit_patterns(patterns: DataFrame) -> RuleModel:
-    """Fit on the column ``code`` of a table: at most 3^rules sums reach the driver."""
-    rows = patterns.groupBy("code").agg(F.count(F.lit(1)).alias("n")).collect()
-    return fit_rules({r["code"]: r["n"] for r in rows}, len(votes("f")))
+def pattern_counts(measured: DataFrame) -> dict[int, int]:
+    """How many rows have each pattern of votes: at most 3^rules sums reach the driver."""
+    rows = measured.groupBy(pattern("f").alias("code")).agg(F.count(F.lit(1)).alias("n")).collect()
+    return {r["code"]: r["n"] for r in rows}
 
 
 def base_failed(f: str = "f") -> Column:
@@ -218,11 +218,13 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is kept, with all their columns and nothing else.
 
-    Every text is measured once: the rows are written next to what their verdict needs, which is their
-    pattern of votes, and read again when the rules are weighed.
+    The texts are measured twice, once to learn and once to filter; that needs no disk, where a copy of all
+    rows with their verdicts, or a shuffle of them to meet these, takes as much as the table. Which patterns
+    of votes are good is told by a list of those that occur, so the filter needs no further Python.
     """
+    counts = pattern_counts(docs.select(features("text").alias("f")))
+    model = fit_rules(counts, len(votes("f")))
+    good = [code for code in sorted(counts) if model.posterior[code] >= 0.5]
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     measured = docs.select(row, features("text").alias("f"))
-    marked = write_through(measured.select("row", base_failed().alias("failed"), pattern("f").alias("code")), "marked-rows")
-    model = fit_patterns(marked)
-    return marked.filter(~F.col("failed") & (model.quality(F.col("code")) >= 0.5)).select("row.*")
+    return measured.filter(~base_failed() & pattern("f").isin(good)).select("row.*")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pricebench.llm import classifier, packing, pii, repeats, rules, sharding, simhash
+from pricebench.llm import classifier, packing, pii, repeats, rules, simhash
 from pricebench.llm.catalog import token_files
 from pricebench.llm.tables import ranked_in
 from cases import ESSAY, ODD_TEXTS, documents, sentence

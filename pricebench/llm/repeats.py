@@ -166,39 +166,44 @@ ANCHORS = "bucket int, base long, hash binary, digest binary, doc binary, tag bi
 def _anchor_batches(hot: np.ndarray, buckets: int):
     """Anchors by bucket, one row per bucket and batch. Rows without hashes are settled within the batch."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, tags, texts = _texts(batch)
-            owner, place, size, hashed, digest = _surroundings(texts)
-            if not len(owner):
-                continue
-            order, new = _earliest((hashed, digest), _ranks(ids, tags)[owner], place)
-            doc, tag = ids[owner], tags[owner]
-            doc, tag, place, size, hashed, digest = (c[order] for c in (doc, tag, place, size, hashed, digest))
-            spread = np.where(np.isin(hashed, hot), digest, hashed) if len(hot) else hashed
-            bucket = (spread >> np.uint64(20)).astype(np.int64) % buckets
-            bucket[~new] = buckets + doc[~new] % buckets
-            by = np.argsort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.diff(bucket[by], prepend=-1))
-            out = []
-            for a, b in zip(cuts, [*cuts[1:], len(by)]):
-                here = by[a:b]
-                at, base = int(bucket[here[0]]), int(doc[here].min())
-                open_ = at < buckets
-                out.append(
-                    (
-                        at,
-                        base,
-                        _packed(hashed[here], "<u8") if open_ else b"",
-                        _packed(digest[here], "<u8") if open_ else b"",
-                        _packed(doc[here] - base, "<u4" if int(doc[here].max()) - base < 1 << 32 else "<u8"),
-                        _packed_tags(tag[here]),
-                        _packed(place[here], "<u4"),
-                        _packed(size[here], "u1"),
-                    )
+    def sent(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        ids, tags, texts = _texts(batch)
+        owner, place, size, hashed, digest = _surroundings(texts)
+        del texts
+        if not len(owner):
+            return None
+        order, new = _earliest((hashed, digest), _ranks(ids, tags)[owner], place)
+        doc, tag = ids[owner], tags[owner]
+        doc, tag, place, size, hashed, digest = (c[order] for c in (doc, tag, place, size, hashed, digest))
+        spread = np.where(np.isin(hashed, hot), digest, hashed) if len(hot) else hashed
+        bucket = (spread >> np.uint64(20)).astype(np.int64) % buckets
+        bucket[~new] = buckets + doc[~new] % buckets
+        by = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[by], prepend=-1))
+        out = []
+        for a, b in zip(cuts, [*cuts[1:], len(by)]):
+            here = by[a:b]
+            at, base = int(bucket[here[0]]), int(doc[here].min())
+            open_ = at < buckets
+            out.append(
+                (
+                    at,
+                    base,
+                    _packed(hashed[here], "<u8") if open_ else b"",
+                    _packed(digest[here], "<u8") if open_ else b"",
+                    _packed(doc[here] - base, "<u4" if int(doc[here].max()) - base < 1 << 32 else "<u8"),
+                    _packed_tags(tag[here]),
+                    _packed(place[here], "<u4"),
+                    _packed(size[here], "u1"),
                 )
-            types = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], _names(ANCHORS))
+            )
+        types = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], _names(ANCHORS))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # what one batch needed is let go before the next one
+            if (made := sent(batch)) is not None:
+                yield made
 
     return rows
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 
-from pricebench.models import growing
+from pricebench.models import growing, trees
 from pricebench.models.sparse import SparseTable
 
 
@@ -38,3 +38,22 @@ def test_guesses_are_taken_off_the_targets(spark):
         with table.less(lambda rows: rows.target / 2) as left:
             assert left.number == 60 and left.moments().target == sum(range(60)) / 2
             assert np.allclose(left.moments().sums, sums)
+
+
+def test_boosting_is_the_same_however_often_targets_are_renewed(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    counts = rng.poisson(0.6, (90, 8))
+    rows = [(i, Vectors.dense(v / max(np.linalg.norm(v), 1)), float(v[0] + rng.normal())) for i, v in enumerate(counts)]
+    df = spark.createDataFrame(rows, ["id", "features", "label"]).repartition(3)
+
+    def fitted(every):
+        monkeypatch.setattr(trees, "ROUNDS_PER_FOLD", every)
+        model = trees.BoostedTrees(rounds=5, max_depth=3)
+        with SparseTable(df, 8, key="id") as table:
+            model._boost(table, None)
+        return model.trees
+
+    often, never = fitted(2), fitted(100)
+    assert len(often) == len(never) == 5
+    for a, b in zip(often, never):
+        assert np.array_equal(a.term, b.term) and np.array_equal(a.level, b.level) and np.allclose(a.value, b.value, atol=1e-9)
